@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,16 +67,22 @@ def sequence_within_groups(df: DataFrame, group_cols: Sequence[str], order_cols:
                            out_col: str = "seq", num_partitions: int | None = None) -> DataFrame:
     """Dense ``row_number()`` per group ordered by ``order_cols`` (assumed unique per group).
 
-    Plan: one range shuffle on (group, order) + a local numbering pass + a
-    broadcast join with a table of one row per partition.
+    Plan: one range shuffle on (group, order), kept MEMORY_AND_DISK, read by a
+    local numbering pass and by a tiny per-partition count; the counts become a
+    table with one row per partition, broadcast back.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group_cols, order_cols = list(group_cols), list(order_cols)
     keys = group_cols + order_cols
+    # Both branches below (counts, local numbering) must see the *same* partitions:
+    # two separately planned range exchanges sample different bounds.  The
+    # persisted exchange output is shared; a lost block is rebuilt from the same
+    # shuffle (bounds are fixed once per plan), so the numbering stays stable.
     ranged = (df.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
-                .withColumn("_pid", F.spark_partition_id()))
+                .withColumn("_pid", F.spark_partition_id())
+                .persist(StorageLevel.MEMORY_AND_DISK))
     gkey = F.struct(*group_cols)
 
     # rows of every group in every partition (map-side partial counts: tiny shuffle)
