@@ -23,10 +23,16 @@ def _quoted(sep: str) -> str:
     return r"\Q" + sep + r"\E"
 
 
+# Every character Java's trim removes, as a trim set for Spark's trim(BOTH set FROM x).
+_BLANK_SET = "".join(chr(i) for i in range(0x21))
+
+
 def java_trim(c) -> Column:
-    """String.trim(): strip every char <= U+0020 at both ends (Spark's trim strips blanks only)."""
-    # \z, not $: $ would also match before a final line terminator
-    return F.regexp_replace(_col(c), rf"^{_BLANK}+|{_BLANK}+\z", "")
+    """String.trim(): strip every char <= U+0020 at both ends (Spark's trim() strips blanks only).
+
+    ``trim(BOTH <set> FROM x)`` with the 33-char set: no regular expression.
+    """
+    return F.trim(_col(c), F.lit(_BLANK_SET))
 
 
 def java_split(c, sep: str) -> Column:
@@ -44,18 +50,21 @@ def java_split(c, sep: str) -> Column:
 def split_fields(c, sep: str = ",") -> Column:
     """Fields of one line: Java split on ``sep`` then Java trim of every field.
 
-    Computed on the whole line with three regular expressions instead of a
-    per-field lambda: trailing separators are removed first (so the fields Java
-    would drop are gone), then blanks around separators and at both ends, then a
-    plain split that keeps every remaining field.
+    Computed on the whole line instead of per field: trailing separators are
+    removed first (exactly the fields Java drops), then blanks at both ends of
+    the line, then one split on a pattern that swallows blanks around each
+    separator.  '' -> [''];  ',,' -> [];  ' a , ,' -> ['a', ''].
     """
     v = _col(c)
     q = _quoted(sep)
-    stripped = F.regexp_replace(v, rf"(?:{q})+\z", "")
-    tight = java_trim(F.regexp_replace(stripped, rf"{_BLANK}*{q}{_BLANK}*", sep.replace("\\", "\\\\").replace("$", "\\$")))
+    if len(sep) == 1:
+        stripped = F.rtrim(v, F.lit(sep))
+    else:
+        stripped = F.regexp_replace(v, rf"(?:{q})+\z", "")
+    tight = java_trim(stripped)
     return (F.when(v == "", F.array(F.lit("")))
              .when(stripped == "", F.array().cast(T.ArrayType(T.StringType())))
-             .otherwise(F.split(tight, q)))
+             .otherwise(F.split(tight, rf"{_BLANK}*{q}{_BLANK}*")))
 
 
 _TS_SHAPE = r"^\d{1,4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\z"

@@ -75,11 +75,24 @@ def file_header(lines: DataFrame, dialect: Dialect = DEFAULT_DIALECT) -> DataFra
     out = out.select("*", *[p.alias(_pos_col(o)) for o, p in positions])
     pos_cols = [F.col(_pos_col(o)) for o, _ in positions]
     vpos = F.col(_pos_col("version"))
-    return out.select(
+    out = out.select(
         "*",
         (vpos >= 0).alias("has_version"),
         F.filter(F.array(*pos_cols), lambda p: p >= 0).alias("common_pos"),
     )
+    # Per-file constants, computed once per file instead of once per data row:
+    # the first item position, and the first item position that lacks a header
+    # name, an upper/lower limit or a unit (every position from ``m`` on).
+    cp = F.col("common_pos")
+    m = F.least(*[F.coalesce(F.size(c), F.lit(0)).cast("long")
+                  for c in ("header", "upper_limits", "lower_limits", "units")])
+
+    def first_free(start: Column) -> Column:
+        cand = F.sequence(start, start + F.size(cp).cast("long"))
+        return F.array_min(F.filter(cand, lambda p: ~F.array_contains(cp, p)))
+
+    return out.select("*", first_free(F.lit(0).cast("long")).alias("first_item_pos"),
+                      first_free(m).alias("first_bad_pos"))
 
 
 _PREAMBLE_MESSAGES = {
@@ -128,17 +141,9 @@ def _with_row_fields(rows: DataFrame, d: Dialect) -> DataFrame:
     parts = station_id_parts(common("station_id"))
     cols = {out: common(out) for _, out in d.common_columns
             if out not in ("version", "starttime", "endtime")}
-    n_fields = F.size(f)
-    # item positions: every field position that is not a common column
-    fi_seq = F.filter(F.sequence(F.lit(0), n_fields - 1),
-                      lambda p: ~F.array_contains(F.col("common_pos"), p))
-    first_item = F.when(n_fields > 0, F.array_min(fi_seq))
-    # first item position that has no header name / limit / unit (E4 / E5)
-    m = F.least(*[F.coalesce(F.size(c), F.lit(0))
-                  for c in ("header", "upper_limits", "lower_limits", "units")])
-    bad_seq = F.filter(F.sequence(m, n_fields - 1),
-                       lambda p: ~F.array_contains(F.col("common_pos"), p))
-    first_bad = F.when(n_fields > m, F.array_min(bad_seq))
+    n_fields = F.size(f).cast("long")
+    first_item = F.when(F.col("first_item_pos") < n_fields, F.col("first_item_pos"))
+    first_bad = F.when(F.col("first_bad_pos") < n_fields, F.col("first_bad_pos"))
     return rows.select(
         "*",
         *[c.alias(k) for k, c in cols.items()],
@@ -193,22 +198,32 @@ def _row_errors(rows: DataFrame) -> DataFrame:
     return rows.select("*", err_pos.alias("err_pos"), err_msg.alias("err_msg"))
 
 
+_CELL_PARTS = ("f", "header", "upper_limits", "lower_limits", "units")
+
+
 def cells(rows: DataFrame) -> DataFrame:
-    """Wide -> long: one row per item column of every data row (``posexplode``).
+    """Wide -> long: one row per item column of every data row.
 
-    Empty cells between values stay as ''; trailing empty cells are already gone
-    (Java split).  item/limits/unit come from the header arrays at the same
-    position.  Cells at or right of the row's first error carry ``bad = true``.
+    The row's fields and the file's header/limit/unit arrays are zipped by
+    position and exploded once, so every cell is a small struct and no array is
+    copied per cell.  Empty cells between values stay as ''; trailing empty
+    cells are already gone (Java split).  Cells at or right of the row's first
+    error carry ``bad = true``.
     """
-    exploded = rows.select("*", F.posexplode("f").alias("pos", "value"))
-    pos = F.col("pos")
-    item_cell = ~F.array_contains(F.col("common_pos"), pos.cast("long"))
+    empty = F.array().cast(_ARR)
+    zipped = F.arrays_zip(*[F.coalesce(F.col(c), empty).alias(c) for c in _CELL_PARTS])
+    keep = [c for c in rows.columns if c not in _CELL_PARTS
+            and c not in ("raw", "display", "priority")]
+    exploded = rows.select(*keep, F.size("f").alias("_n"),
+                           F.posexplode(zipped).alias("pos", "_c"))
+    pos = F.col("pos").cast("long")
+    item_cell = (pos < F.col("_n")) & ~F.array_contains(F.col("common_pos"), pos)
     bad = F.col("err_msg").isNotNull() & ((F.col("err_pos") < 0) | (pos >= F.col("err_pos")))
     return (exploded.where(item_cell)
-                    .select("*",
-                            F.get(F.col("header"), pos).alias("item"),
-                            F.get(F.col("upper_limits"), pos).alias("upper"),
-                            F.get(F.col("lower_limits"), pos).alias("lower"),
-                            F.get(F.col("units"), pos).alias("unit"),
-                            bad.alias("bad"))
-                    .withColumn("pos", pos.cast("long")))
+                    .select(*keep, pos.alias("pos"),
+                            F.col("_c.f").alias("value"),
+                            F.col("_c.header").alias("item"),
+                            F.col("_c.upper_limits").alias("upper"),
+                            F.col("_c.lower_limits").alias("lower"),
+                            F.col("_c.units").alias("unit"),
+                            bad.alias("bad")))

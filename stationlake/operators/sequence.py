@@ -17,7 +17,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,29 +27,39 @@ from pyspark.sql import types as T
 
 
 def _run_index_batches(keys: list[str], out_col: str):
-    """mapInPandas body: 1-based position inside runs of equal ``keys``."""
+    """mapInArrow body: 1-based position inside runs of equal ``keys``.
+
+    Only the key columns are looked at (as Arrow arrays); every other column
+    passes through without conversion.  State carries across batches of one
+    partition, so a run may span batches.
+    """
 
     def fn(batches):
         last_key = None
         last_count = 0
-        for pdf in batches:
-            if pdf.empty:
-                pdf[out_col] = pd.Series([], dtype="int64")
-                yield pdf
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                yield batch.append_column(out_col, pa.array([], type=pa.int64()))
                 continue
-            k = pdf[keys]
-            changed = (k != k.shift()).any(axis=1)
-            changed.iloc[0] = True
-            run_id = changed.cumsum()
-            idx = run_id.groupby(run_id).cumcount().astype("int64") + 1
-            first_key = tuple(k.iloc[0].tolist())
+            starts = np.zeros(n, dtype=bool)
+            starts[0] = True
+            for k in keys:
+                col = batch.column(k)
+                if n > 1:
+                    diff = pc.not_equal(col.slice(1), col.slice(0, n - 1))
+                    diff = pc.fill_null(diff, True).to_numpy(zero_copy_only=False)
+                    starts[1:] |= diff
+            pos = np.arange(n, dtype=np.int64)
+            run_start = np.maximum.accumulate(np.where(starts, pos, 0))
+            idx = pos - run_start + 1
+            first_key = tuple(batch.column(k)[0].as_py() for k in keys)
             if last_key is not None and first_key == last_key:
-                first_run = run_id == 1
-                idx = idx.where(~first_run, idx + last_count)
-            pdf[out_col] = idx.to_numpy()
-            last_key = tuple(k.iloc[-1].tolist())
-            last_count = int(idx.iloc[-1])
-            yield pdf
+                first_run = run_start == 0
+                idx[first_run] += last_count
+            last_key = tuple(batch.column(k)[n - 1].as_py() for k in keys)
+            last_count = int(idx[-1])
+            yield batch.append_column(out_col, pa.array(idx, type=pa.int64()))
 
     return fn
 
@@ -60,7 +72,7 @@ def run_index(df: DataFrame, keys: Sequence[str], out_col: str = "run_idx") -> D
     partitions restarts at 1 in each; callers add per-partition offsets.
     """
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.LongType(), False)])
-    return df.mapInPandas(_run_index_batches(list(keys), out_col), schema)
+    return df.mapInArrow(_run_index_batches(list(keys), out_col), schema)
 
 
 def sequence_within_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
