@@ -23,6 +23,27 @@ def _quoted(sep: str) -> str:
     return r"\Q" + sep + r"\E"
 
 
+def _split_pattern(sep: str) -> str:
+    """Pattern for Spark's split that hits Java's String.split fast path.
+
+    Java compiles a Pattern on every call unless the pattern is one plain char
+    or a backslash-escaped non-alphanumeric char; a quoted pattern would be
+    compiled once per row.
+    """
+    if len(sep) == 1:
+        if sep not in ".$|()[{^?*+\\":
+            return sep
+        if not sep.isalnum():
+            return "\\" + sep
+    return _quoted(sep)
+
+
+def _strip_trailing(v: Column, sep: str) -> Column:
+    if len(sep) == 1:
+        return F.rtrim(v, F.lit(sep))
+    return F.regexp_replace(v, rf"(?:{_quoted(sep)})+\z", "")
+
+
 # Every character Java's trim removes, as a trim set for Spark's trim(BOTH set FROM x).
 _BLANK_SET = "".join(chr(i) for i in range(0x21))
 
@@ -41,10 +62,10 @@ def java_split(c, sep: str) -> Column:
     '' -> [''];  ',,' -> [];  'a,,b,,' -> ['a', '', 'b'];  'a, ,' -> ['a', ' ']
     """
     v = _col(c)
-    stripped = F.regexp_replace(v, rf"(?:{_quoted(sep)})+\z", "")
+    stripped = _strip_trailing(v, sep)
     return (F.when(v == "", F.array(F.lit("")))
              .when(stripped == "", F.array().cast(T.ArrayType(T.StringType())))
-             .otherwise(F.split(stripped, _quoted(sep))))
+             .otherwise(F.split(stripped, _split_pattern(sep))))
 
 
 def split_fields(c, sep: str = ",") -> Column:
@@ -52,19 +73,18 @@ def split_fields(c, sep: str = ",") -> Column:
 
     Computed on the whole line instead of per field: trailing separators are
     removed first (exactly the fields Java drops), then blanks at both ends of
-    the line, then one split on a pattern that swallows blanks around each
-    separator.  '' -> [''];  ',,' -> [];  ' a , ,' -> ['a', ''].
+    the line and around every separator, then a plain split.  '' -> [''];  ',,' -> [];  ' a , ,' -> ['a', ''].
     """
     v = _col(c)
     q = _quoted(sep)
-    if len(sep) == 1:
-        stripped = F.rtrim(v, F.lit(sep))
-    else:
-        stripped = F.regexp_replace(v, rf"(?:{q})+\z", "")
-    tight = java_trim(stripped)
+    stripped = _strip_trailing(v, sep)
+    # regexp_replace compiles its (constant) pattern once; the split then takes
+    # Java's single-char fast path
+    repl = sep.replace("\\", "\\\\").replace("$", "\\$")
+    tight = F.regexp_replace(java_trim(stripped), rf"{_BLANK}*{q}{_BLANK}*", repl)
     return (F.when(v == "", F.array(F.lit("")))
              .when(stripped == "", F.array().cast(T.ArrayType(T.StringType())))
-             .otherwise(F.split(tight, rf"{_BLANK}*{q}{_BLANK}*")))
+             .otherwise(F.split(tight, _split_pattern(sep))))
 
 
 _TS_SHAPE = r"^\d{1,4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\z"
