@@ -172,6 +172,12 @@ hist AS (
 )"""
 
 
+def _rendered_values(li: str) -> str:
+    return f"""{_with(_SUPP, li)}
+            SELECT value FROM ({_preamble_lines()})
+            UNION ALL SELECT {_data_line()} AS value FROM li"""
+
+
 def oracle_sql() -> dict[str, str]:
     li, cells = _li(), _cells_cte()
     li_bad = _li(bad=True)
@@ -282,6 +288,9 @@ def oracle_sql() -> dict[str, str]:
             WHERE NOT (l_suppkey % 10 = 0 AND seq >= 3)""",
         "rejects": f"""{_with(li_bad)}
             SELECT csv_file, line_no, {pre_bad_msg} AS err_msg FROM li WHERE starttime IS NULL""",
+        "scan_compressed": _rendered_values(li),
+        "scan_zip": _rendered_values(li),
+        "scan_all": _rendered_values(li),
         "table_scan": "SELECT * FROM events",
         "export_station": _events_range(),
         "export_measurements": f"""{_with(li, cells)}

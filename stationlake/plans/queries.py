@@ -12,12 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationlake.fixtures.files import CODECS, write_mixed_files, write_text_files, write_zip_files
 from stationlake.fixtures.render import load_lineitem, render_lines
 from stationlake.functions.text import split_fields
 from stationlake.operators import tables as tb
 from stationlake.plans.export import archive_dir, export_station, preview, row_text
 from stationlake.plans.pipeline import Parsed, import_log, import_summary, parse_lines
 from stationlake.schemas import MEASUREMENT_COLUMNS, RUN_META_KEY, SPEC_KEY
+from stationlake.session import staging_dir
+from stationlake.sources.files import read_lines
 
 # Fixed query parameters (part of the query definition, shared with the oracle SQL).
 EVENT_TYPE = "click"
@@ -205,6 +208,29 @@ def q_rejects(spark, sf_dir):
     return p.rejects.select("csv_file", "line_no", "err_msg")
 
 
+# --- file sources: rendered lines written as files and read back -------------------------
+
+def q_scan_compressed(spark, sf_dir):
+    lines = lines_of(spark, sf_dir)
+    root = staging_dir(spark, "scan-compressed")
+    bucket = F.pmod(F.hash("csv_file"), F.lit(len(CODECS)))
+    for i, codec in enumerate(CODECS):
+        write_text_files(lines.where(bucket == i), f"{root}/{codec}", codec)
+    return read_lines(spark, [f"{root}/{c}" for c in CODECS]).select("value")
+
+
+def q_scan_zip(spark, sf_dir):
+    root = staging_dir(spark, "scan-zip")
+    write_zip_files(lines_of(spark, sf_dir), root)
+    return read_lines(spark, root).select("value")
+
+
+def q_scan_all(spark, sf_dir):
+    root = staging_dir(spark, "scan-all")
+    write_mixed_files(lines_of(spark, sf_dir), root)
+    return read_lines(spark, root).select("value")
+
+
 # --- table scan and export -------------------------------------------------------------------
 
 def q_table_scan(spark, sf_dir):
@@ -256,6 +282,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "import_summary": q_import_summary,
     "partial_failure": q_partial_failure,
     "rejects": q_rejects,
+    "scan_compressed": q_scan_compressed,
+    "scan_zip": q_scan_zip,
+    "scan_all": q_scan_all,
     "table_scan": q_table_scan,
     "export_station": q_export_station,
     "export_measurements": q_export_measurements,
