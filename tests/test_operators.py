@@ -46,3 +46,15 @@ def test_entry_contract(spark):
     assert df.count() > 0
     assert df.columns == ["product", "station_id", "station_name", "version", "item", "kind",
                           "limit_value", "seen_at"]
+
+
+def test_create_tables_ddl(spark, workdir):
+    from stationlake.sources.tables import create_tables_sql
+
+    for stmt in create_tables_sql("stationlake_test", f"{workdir}/db"):
+        spark.sql(stmt)
+    cols = [f.name for f in spark.table("stationlake_test.measurement").schema.fields]
+    assert cols[-1] == "station_name" and len(cols) == 25
+    spec = spark.table("stationlake_test.spec").schema
+    assert spec["upper"].dataType.simpleString() == "map<string,timestamp_ntz>"
+    spark.sql("DROP DATABASE stationlake_test CASCADE")
