@@ -60,7 +60,8 @@ def file_header(lines: DataFrame, dialect: Dialect = DEFAULT_DIALECT) -> DataFra
     header = F.transform(F.col("l_header"), lambda x: F.lower(x))
     version_field = F.get(F.col("l_station"), 1)
     file_version, version_err = file_version_parts(version_field)
-    station_err = F.when(F.col("l_station").isNotNull() & (F.size("l_station") == 0), F.lit("E1"))
+    station_err = (F.when(F.col("l_station").isNotNull() & (F.size("l_station") == 0), F.lit("E1"))
+                    .when(F.size("l_header") >= F.lit(1 << 20), F.lit("E10")))
     positions = [(out, (F.array_position(F.col("header"), name) - 1).cast("long"))
                  for name, out in d.common_columns]
     out = agg.select(
@@ -99,6 +100,7 @@ _PREAMBLE_MESSAGES = {
     "E1": "station line has no fields",
     "E2": "station line: no version after ':'",
     "E3": "station line: empty version list",
+    "E10": "header has more than 1048575 columns",
 }
 
 

@@ -79,54 +79,72 @@ def upsert_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORD
     return out.select(*[c for c in df.columns if c in out.columns])
 
 
+# A cell's place inside its file as one long: line_no * 2^20 + pos.  Exact because
+# an item cell always lies inside the header, and headers of 2^20 columns or
+# more are rejected as a preamble error.
+POS_BITS = 20
+
+
+def _line_pos() -> Column:
+    return F.col("line_no") * F.lit(1 << POS_BITS) + F.col("pos")
+
+
+def _dims_of_station(station_id: Column) -> list[Column]:
+    from stationlake.functions.text import station_id_parts
+    return [p.alias(n) for p, n in zip(station_id_parts(station_id), SPEC_DIMS)]
+
+
 def spec_dims(cells: DataFrame) -> DataFrame:
-    """Spec key -> station-id parts of the first writer (insert-if-not-exists)."""
-    o = F.struct(*[F.col(c) for c in ORDER_COLS])
-    dims = F.struct(*[F.col(c) for c in SPEC_DIMS])
-    return (cells.groupBy(*SPEC_KEY).agg(F.min_by(dims, o).alias("_d"))
-                 .select(*SPEC_KEY, *[F.col("_d")[c].alias(c) for c in SPEC_DIMS]))
+    """Spec key -> station-id parts (insert-if-not-exists: the first writer's parts).
+
+    The parts are a function of ``station_id``, which is part of the key, so
+    every writer of a key carries the same parts: they are derived once per
+    distinct key instead of being aggregated.
+    """
+    keys = cells.select(*SPEC_KEY).distinct()
+    return keys.select(*SPEC_KEY, *_dims_of_station(F.col("station_id")))
 
 
 def limit_events(cells: DataFrame) -> DataFrame:
-    """Every cell as three (kind, limit) sightings with time, write order and station-id parts."""
-    o = F.struct(*[F.col(c) for c in ORDER_COLS])
+    """Every cell as three (kind, limit) sightings with its time and write position."""
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("limit_value"))
                       for k in LIMIT_KINDS])
-    dims = F.struct(*[F.col(c) for c in SPEC_DIMS])
-    return (cells.select(*SPEC_KEY, "starttime", F.struct(F.lit(1).alias("b"), o.alias("o")).alias("_order"),
-                         dims.alias("_dims"), F.explode(kinds).alias("_k"))
-                 .select(*SPEC_KEY, "_k.kind", "_k.limit_value", "starttime", "_order", "_dims"))
+    return (cells.select(*SPEC_KEY, "starttime", "csv_file", _line_pos().alias("_lp"),
+                         F.lit(1).alias("_b"), F.explode(kinds).alias("_k"))
+                 .select(*SPEC_KEY, "_k.kind", "_k.limit_value", "starttime", "_b", "csv_file", "_lp"))
 
 
 def _stored_events(stored: DataFrame) -> DataFrame:
     """Stored history rows as sightings that sort before every new write."""
-    low = F.struct(F.lit(0).alias("b"),
-                   F.struct(F.lit("").alias("csv_file"), F.lit(-1).cast("long").alias("line_no"),
-                            F.lit(-1).cast("long").alias("pos")).alias("o"))
-    dims = F.struct(*[(F.col(c) if c in stored.columns else F.lit(None).cast("string")).alias(c)
-                      for c in SPEC_DIMS])
     return stored.select(*SPEC_KEY, "kind", "limit_value", F.col("seen_at").alias("starttime"),
-                         low.alias("_order"), dims.alias("_dims"))
+                         F.lit(0).alias("_b"), F.lit("").alias("csv_file"),
+                         F.lit(-1).cast("long").alias("_lp"))
 
 
 def _history(cells: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """(key, kind, limit) -> start time of its last write.
+
+    Two steps so the heavy one is a hash aggregate: per file, ``max_by`` over a
+    long (line/position) -- fixed-width buffers, combined map-side; then across
+    the few per-file winners, ``max_by`` over (batch, file name).
+    """
     ev = limit_events(cells)
     if stored is not None:
         ev = _stored_events(stored).unionByName(ev)
-    return (ev.groupBy(*SPEC_KEY, "kind", "limit_value")
-              .agg(F.max_by("starttime", "_order").alias("seen_at"),
-                   F.min(F.struct("_order", "_dims")).alias("_first")))
+    per_file = (ev.groupBy(*SPEC_KEY, "kind", "limit_value", "_b", "csv_file")
+                  .agg(F.max_by("starttime", "_lp").alias("_t")))
+    return (per_file.groupBy(*SPEC_KEY, "kind", "limit_value")
+                    .agg(F.max_by("_t", F.struct("_b", "csv_file")).alias("seen_at")))
 
 
 def spec_history_rows(cells: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Limit history as rows: (spec key, kind, limit_value, seen_at).
 
     ``seen_at`` is the start time of the last write of that limit value for the
-    key -- the map-union semantics of the spec table, computed as one
-    aggregate with map-side combining.  ``stored`` (same columns) holds earlier
-    history, which any new write overrides.
+    key -- the map-union semantics of the spec table.  ``stored`` (same
+    columns) holds earlier history, which any new write overrides.
     """
-    return _history(cells, stored).drop("_first")
+    return _history(cells, stored)
 
 
 def spec_table(cells: DataFrame, stored_rows: DataFrame | None = None) -> DataFrame:
@@ -134,8 +152,7 @@ def spec_table(cells: DataFrame, stored_rows: DataFrame | None = None) -> DataFr
 
     Second level of the aggregate: per key, the (already de-duplicated) limit
     values become map entries.  A map holds one entry per distinct limit value
-    of a key -- it grows with limit changes, not with rows.  The station-id
-    parts are those of the first writer (stored rows first).
+    of a key -- it grows with limit changes, not with rows.
     """
     hist = _history(cells, stored_rows)
 
@@ -143,9 +160,8 @@ def spec_table(cells: DataFrame, stored_rows: DataFrame | None = None) -> DataFr
         entries = F.collect_list(F.when(F.col("kind") == k, F.struct("limit_value", "seen_at")))
         return F.map_from_entries(entries).alias(k)
 
-    maps = hist.groupBy(*SPEC_KEY).agg(*[kind_map(k) for k in LIMIT_KINDS],
-                                        F.min("_first").alias("_first"))
-    return maps.select(*SPEC_KEY[:2], *[F.col("_first._dims")[c].alias(c) for c in SPEC_DIMS],
+    maps = hist.groupBy(*SPEC_KEY).agg(*[kind_map(k) for k in LIMIT_KINDS])
+    return maps.select(*SPEC_KEY[:2], *_dims_of_station(F.col("station_id")),
                        *SPEC_KEY[2:], *LIMIT_KINDS)
 
 
