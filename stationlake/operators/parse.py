@@ -111,6 +111,12 @@ def preamble_message(code: Column) -> Column:
     return expr
 
 
+def header_fits_broadcast(header: DataFrame) -> bool:
+    """Measure the per-file header table (one small aggregate) against the broadcast limit."""
+    est = measured_bytes(header, F.col("header_bytes") * 3 + 256)
+    return est <= broadcast_limit(header.sparkSession)
+
+
 def data_rows(lines: DataFrame, header: DataFrame, dialect: Dialect = DEFAULT_DIALECT,
               header_is_small: bool | None = None) -> DataFrame:
     """Data lines (line 8 on) joined with their file's header.
@@ -124,9 +130,7 @@ def data_rows(lines: DataFrame, header: DataFrame, dialect: Dialect = DEFAULT_DI
                          split_fields("value", d.separator).alias("f")))
     hdr = header.drop("display", "priority")
     if header_is_small is None:
-        # one small aggregate over the per-file table: bytes of the preamble text
-        est = measured_bytes(hdr, F.col("header_bytes") * 3 + 256)
-        header_is_small = est <= broadcast_limit(header.sparkSession)
+        header_is_small = header_fits_broadcast(header)
     small = hdr.drop("header_bytes")
     joined = rows.join(F.broadcast(small) if header_is_small else small, "file_path")
     return _with_row_fields(joined, d)

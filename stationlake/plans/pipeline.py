@@ -14,9 +14,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.operators.joins import join_small
 from stationlake.operators.parse import cells as make_cells
-from stationlake.operators.parse import data_rows, file_header, preamble_message
+from stationlake.operators.parse import (data_rows, file_header, header_fits_broadcast,
+                                         preamble_message)
 from stationlake.schemas import DEFAULT_DIALECT, Dialect
 
 
@@ -29,6 +29,7 @@ class Parsed:
     good_cells: DataFrame   # cells that become MEASUREMENT rows
     file_errors: DataFrame  # file_path, csv_file, err_line, err_pos, err_msg (failed files only)
     rejects: DataFrame      # rejected data rows with reason (quarantine view)
+    header_is_small: bool = False  # per-file tables were measured under the broadcast limit
 
 
 def file_errors(header: DataFrame, rows: DataFrame) -> DataFrame:
@@ -58,6 +59,8 @@ def parse_lines(lines: DataFrame, dialect: Dialect = DEFAULT_DIALECT, on_error:
     if persist:
         lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
     header = file_header(lines, dialect)
+    if header_is_small is None:
+        header_is_small = header_fits_broadcast(header)
     rows = data_rows(lines, header, dialect, header_is_small=header_is_small)
     cells = make_cells(rows)
     errs = file_errors(header, rows)
@@ -67,27 +70,30 @@ def parse_lines(lines: DataFrame, dialect: Dialect = DEFAULT_DIALECT, on_error:
         good_rows = rows.where(F.col("err_msg").isNull())
         good_cells = cells.where(F.col("err_msg").isNull())
     else:
+        # at most one row per file and narrower than the header: the header's
+        # measured size bounds it, so the same broadcast decision holds
         stops = errs.select("file_path", F.col("err_line").alias("_stop_line"))
-        size = F.octet_length("file_path") + 16
+        stops = F.broadcast(stops) if header_is_small else stops
         before = F.col("_stop_line").isNull() | (F.col("line_no") < F.col("_stop_line"))
         at = (F.col("line_no") == F.col("_stop_line")) & ~F.col("bad")
-        good_cells = (join_small(cells, stops, "file_path", "left", size_expr=size)
-                      .where(before | at).drop("_stop_line"))
-        good_rows = (join_small(rows, stops, "file_path", "left", size_expr=size)
-                     .where(F.col("err_msg").isNull() & before).drop("_stop_line"))
-    return Parsed(header, rows, cells, good_rows, good_cells, errs, rejects)
+        good_cells = cells.join(stops, "file_path", "left").where(before | at).drop("_stop_line")
+        good_rows = (rows.join(stops, "file_path", "left")
+                         .where(F.col("err_msg").isNull() & before).drop("_stop_line"))
+    return Parsed(header, rows, cells, good_rows, good_cells, errs, rejects, header_is_small)
 
 
-def import_log(files: DataFrame, errors: DataFrame, with_clock: bool = True) -> DataFrame:
+def import_log(files: DataFrame, errors: DataFrame, with_clock: bool = True,
+               errors_small: bool = False) -> DataFrame:
     """One outcome row per file: (file_name, file_path, processed_at, message, success).
 
     ``files`` needs file_path and csv_file (or file_name); the error table has
-    one row per failed file, so this is a left join with a small side.
+    at most one row per file (``errors_small``: measured small, broadcast it).
     """
     if "file_name" not in files.columns:
         files = files.withColumnRenamed("csv_file", "file_name")
     f = files.select("file_path", "file_name").dropDuplicates(["file_path"])
     e = errors.select("file_path", "err_msg")
+    e = F.broadcast(e) if errors_small else e
     log = f.join(e, "file_path", "left").select(
         "file_name", "file_path",
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH-mm-ss").alias("processed_at"),

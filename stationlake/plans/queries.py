@@ -190,12 +190,13 @@ def q_spec_table(spark, sf_dir):
 
 def q_import_log(spark, sf_dir):
     p = parsed_of(spark, sf_dir, bad=True)
-    return import_log(p.header, p.file_errors, with_clock=False)
+    return import_log(p.header, p.file_errors, with_clock=False, errors_small=p.header_is_small)
 
 
 def q_import_summary(spark, sf_dir):
     p = parsed_of(spark, sf_dir, bad=True)
-    return import_summary(import_log(p.header, p.file_errors, with_clock=False))
+    return import_summary(import_log(p.header, p.file_errors, with_clock=False,
+                                     errors_small=p.header_is_small))
 
 
 def q_partial_failure(spark, sf_dir):
