@@ -291,6 +291,11 @@ def oracle_sql() -> dict[str, str]:
         "scan_compressed": _rendered_values(li),
         "scan_zip": _rendered_values(li),
         "scan_all": _rendered_values(li),
+        "table_sink": f"""{_with(li, cells)}
+            SELECT {_MEAS_COLS}, strftime(starttime, '%Y-%m') AS start_month FROM cells
+            QUALIFY row_number() OVER (PARTITION BY product, station_name, station_id, serialnumber,
+                                       starttime, version, item
+                                       ORDER BY csv_file DESC, line_no DESC, pos DESC) = 1""",
         "table_scan": "SELECT * FROM events",
         "export_station": _events_range(),
         "export_measurements": f"""{_with(li, cells)}

@@ -232,6 +232,21 @@ def q_scan_all(spark, sf_dir):
     return read_lines(spark, root).select("value")
 
 
+def q_table_sink(spark, sf_dir):
+    """Import the rendered files into stored tables and read the measurement table back."""
+    from stationlake.plans.ingest import ingest_lines, table_paths
+    from stationlake.sources.tables import read_table
+
+    lines = lines_of(spark, sf_dir)
+    out = staging_dir(spark, "table-sink")
+    files = lines.where(F.col("line_no") == 1).select("file_path", "csv_file")
+    ingest_lines(spark, lines, files, out)
+    from stationlake.schemas import MEASUREMENT_SCHEMA
+    from pyspark.sql import types as T
+    schema = T.StructType(MEASUREMENT_SCHEMA.fields + [T.StructField("start_month", T.StringType())])
+    return read_table(spark, table_paths(out)["measurement"], schema)
+
+
 # --- table scan and export -------------------------------------------------------------------
 
 def q_table_scan(spark, sf_dir):
@@ -286,6 +301,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_compressed": q_scan_compressed,
     "scan_zip": q_scan_zip,
     "scan_all": q_scan_all,
+    "table_sink": q_table_sink,
     "table_scan": q_table_scan,
     "export_station": q_export_station,
     "export_measurements": q_export_measurements,

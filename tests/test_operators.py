@@ -54,7 +54,7 @@ def test_create_tables_ddl(spark, workdir):
     for stmt in create_tables_sql("stationlake_test", f"{workdir}/db"):
         spark.sql(stmt)
     cols = [f.name for f in spark.table("stationlake_test.measurement").schema.fields]
-    assert cols[-2:] == ["station_name", "start_date"] and len(cols) == 26
+    assert cols[-2:] == ["station_name", "start_month"] and len(cols) == 26
     spec = spark.table("stationlake_test.spec").schema
     assert spec["upper"].dataType.simpleString() == "map<string,timestamp_ntz>"
     spark.sql("DROP DATABASE stationlake_test CASCADE")
