@@ -25,8 +25,11 @@ def test_ingest_twice_with_limit_change(spark, workdir):
     inbox1 = _inbox(workdir, "in1", {
         "a.csv": small_file(rows=["P1,S1,F_1_L_M,2020-01-01 00:00:00,2020-01-01 00:00:05,10,20,30"]),
         "bad.csv": bad})
-    r = ingest(spark, inbox1, out, archive_root=os.path.join(workdir, "backup"), model="rd")
+    r = ingest(spark, inbox1, out, archive_root=os.path.join(workdir, "backup"), model="rd",
+               log_text_root=os.path.join(workdir, "imported"))
     assert (r.total, r.success, r.failure) == (2, 1, 1)
+    text = spark.read.text(os.path.join(workdir, "imported", "*", "*")).collect()
+    assert sorted(t.value.split(",")[0] for t in text) == ["[a.csv", "[bad.csv"]
     assert sorted(os.listdir(inbox1)) == []
     assert os.listdir(os.path.join(workdir, "backup", "LX", "PDCA", "RD")) == ["a.csv"]
     assert os.listdir(os.path.join(workdir, "backup", "LX", "PDCA", "RD_FAILED")) == ["bad.csv"]
