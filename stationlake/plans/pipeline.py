@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from stationlake.operators.parse import cells as make_cells
 from stationlake.operators.parse import (data_rows, file_header, header_fits_broadcast,
                                          preamble_message)
+from stationlake.plans.export import now_text
 from stationlake.schemas import DEFAULT_DIALECT, Dialect
 
 
@@ -96,7 +97,7 @@ def import_log(files: DataFrame, errors: DataFrame, with_clock: bool = True,
     e = F.broadcast(e) if errors_small else e
     log = f.join(e, "file_path", "left").select(
         "file_name", "file_path",
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH-mm-ss").alias("processed_at"),
+        now_text("yyyy-MM-dd HH-mm-ss").alias("processed_at"),
         F.concat(F.lit("message: "), F.coalesce(F.col("err_msg"), F.lit(""))).alias("message"),
         F.when(F.col("err_msg").isNull(), F.lit(1)).otherwise(F.lit(0)).cast("int").alias("success"),
     )

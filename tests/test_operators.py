@@ -58,3 +58,13 @@ def test_create_tables_ddl(spark, workdir):
     spec = spark.table("stationlake_test.spec").schema
     assert spec["upper"].dataType.simpleString() == "map<string,timestamp_ntz>"
     spark.sql("DROP DATABASE stationlake_test CASCADE")
+
+
+def test_now_text_patterns(spark):
+    import re
+
+    from stationlake.plans.export import now_text
+
+    r = spark.range(1).select(now_text("").alias("a"), now_text("yyyy-MM-dd HH-mm-ss").alias("b")).first()
+    assert re.fullmatch(r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{3}", r.a)
+    assert re.fullmatch(r"\d{4}-\d{2}-\d{2} \d{2}-\d{2}-\d{2}", r.b)
