@@ -89,16 +89,19 @@ def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
 
 def sequence_within_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                            out_col: str = "seq", num_partitions: int | None = None,
-                           max_group_rows: int | None = MAX_GROUP_ROWS_PER_TASK) -> DataFrame:
+                           max_group_rows: int | None = MAX_GROUP_ROWS_PER_TASK,
+                           largest: int | None = None) -> DataFrame:
     """Dense ``row_number()`` per group ordered by ``order_cols`` (assumed unique per group).
 
     The largest group is measured first (a count per group, combined map-side).
     When every group fits one task comfortably, a plain window is the cheapest
     plan (one hash shuffle, codegen, no Python).  Otherwise the groups are cut
     across range partitions (``split_groups_sequence``).  ``max_group_rows=None``
-    always takes the split path.
+    always takes the split path; ``largest`` passes an already measured size.
     """
-    if max_group_rows is not None and largest_group(df, group_cols) <= max_group_rows:
+    if largest is None and max_group_rows is not None:
+        largest = largest_group(df, group_cols)
+    if max_group_rows is not None and largest <= max_group_rows:
         w = Window.partitionBy(*group_cols).orderBy(*order_cols)
         return df.withColumn(out_col, F.row_number().over(w).cast("long"))
     return split_groups_sequence(df, group_cols, order_cols, out_col, num_partitions)
