@@ -126,6 +126,3 @@ def station_id_parts(c) -> list[Column]:
     parts = java_split(v, "_")
     return [F.when(v.isNotNull(), F.coalesce(F.get(parts, i), F.lit(""))) for i in range(4)]
 
-
-def lower_trim(c) -> Column:
-    return F.lower(java_trim(c))

@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only what has been measured to be small."""
+"""Size checks that decide whether a side of a join may be broadcast."""
 
 from __future__ import annotations
 
@@ -19,17 +19,3 @@ def measured_bytes(df: DataFrame, size_expr: Column) -> int:
     """Sum of ``size_expr`` over ``df`` (one small aggregate job)."""
     row = df.agg(F.coalesce(F.sum(size_expr), F.lit(0)).alias("b")).first()
     return int(row["b"]) if row else 0
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               size_expr: Column | None = None, max_bytes: int | None = None) -> DataFrame:
-    """Join ``big`` with ``small``; broadcast ``small`` only when its measured size is under the limit.
-
-    ``size_expr`` estimates the bytes of one row of ``small`` (default: a flat 64
-    bytes per row).  Above the limit the join stays a shuffle join, where AQE's
-    skew handling splits hot keys of ``big``.
-    """
-    limit = broadcast_limit(small.sparkSession) if max_bytes is None else max_bytes
-    est = measured_bytes(small, size_expr if size_expr is not None else F.lit(64))
-    right = F.broadcast(small) if 0 < est <= limit or est == 0 else small
-    return big.join(right, on, how)

@@ -122,7 +122,8 @@ def data_rows(lines: DataFrame, header: DataFrame, dialect: Dialect = DEFAULT_DI
     """Data lines (line 8 on) joined with their file's header.
 
     The header table has one row per file; it is broadcast only after measuring
-    it (``join_small``), otherwise the join is a shuffle join on ``file_path``.
+    it (``header_fits_broadcast``), otherwise the join is a shuffle join on
+    ``file_path`` where AQE splits skewed files.
     """
     d = dialect
     rows = (lines.where(F.col("line_no") >= F.lit(d.first_data_line))
