@@ -8,7 +8,6 @@ shared folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -47,24 +46,25 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a private one is set only when none is configured."""
+    """The shared folder for intermediate tables, from ``spark.checkpoint.dir``.
+
+    Only a session whose tasks run inside the driver's own process (``local[..]``: tests,
+    bench) may go without the setting and gets a fresh folder; on a cluster that would be
+    a folder other machines cannot see, so the setting is required there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="stationlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def staging_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh directory below the shared checkpoint folder (never a task-local temp dir)."""
-    root = checkpoint_root(spark)
-    path = f"{root.rstrip('/')}/staging/{purpose}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-    return path
+    """The name of a fresh folder below the shared one; Spark's writers create it."""
+    return f"{checkpoint_root(spark).rstrip('/')}/staging/{purpose}-{uuid.uuid4().hex[:12]}"
