@@ -52,28 +52,33 @@ def finer_masks(mask: int, radius: int) -> list[int]:
     return [_mask(have + block) for block in _cut(free, radius + 1)]
 
 
-def near_pairs(fps: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
+def near_pairs(fps: DataFrame, radius: int = 3, blocks: int = 6, asked: bool = False) -> DataFrame:
     """``fps``: distinct (fp long, id). Returns distinct pairs a, b (ids, fp of a below that of b)
-    with ``distance`` of 1 to ``radius``. No pair is left out."""
+    with ``distance`` of 1 to ``radius``. No pair is left out.
+
+    With ``asked``, ``fps`` also has a boolean ``ask``, and a runs over the rows where it is
+    true, b over all others within the radius, above or below."""
     spark = fps.sparkSession
+    columns = ["fp", "id", "ask"] if asked else ["fp", "id"]
     masks = F.explode(F.array(*[F.lit(m).cast("long") for m in first_masks(blocks, radius)]))
-    rows = fps.select("fp", "id", masks.alias("mask"))
+    rows = fps.select(*columns, masks.alias("mask"))
     found = None
     while True:
         rows = rows.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
         sizes = rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
         drawers = staged(rows.join(sizes, ["mask", "key"]), "drawers")
-        small = drawers.where(F.col("n") <= DRAWER).select("mask", "key", "fp", "id")
+        small = drawers.where(F.col("n") <= DRAWER).select("mask", "key", *columns)
         a, b = small.alias("a"), small.alias("b")
         distance = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp")))
+        order = F.col("a.ask") & (F.col("a.fp") != F.col("b.fp")) if asked else F.col("a.fp") < F.col("b.fp")
         pairs = a.join(b, (F.col("a.mask") == F.col("b.mask")) & (F.col("a.key") == F.col("b.key"))
-                       & (F.col("a.fp") < F.col("b.fp")) & (distance <= radius)) \
+                       & order & (distance <= radius)) \
             .select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), distance.alias("distance"))
         found = pairs if found is None else found.unionByName(pairs)
-        full = drawers.where(F.col("n") > DRAWER).select("fp", "id", "mask")
+        full = drawers.where(F.col("n") > DRAWER).select(*columns, "mask")
         # a few thousand masks at most: their number depends on the levels, not on the data
         open_masks = [r["mask"] for r in full.select("mask").distinct().collect()]
         if not open_masks:
             return found.distinct()
         finer = spark.createDataFrame([(m, f) for m in open_masks for f in finer_masks(m, radius)], "mask long, finer long")
-        rows = full.join(F.broadcast(finer), "mask").select("fp", "id", F.col("finer").alias("mask")).distinct()
+        rows = full.join(F.broadcast(finer), "mask").select(*columns, F.col("finer").alias("mask")).distinct()

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlake.llm import quality_rules, simhash_dedup, url_filter
+from stationlake.llm import fingerprints, mixing, packing, quality_rules, simhash_dedup, url_filter
 from stationlake.llm.common import table
 
 
@@ -14,19 +15,34 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.report(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op7_url_filters, op10_quality_rules)
+    f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_best_fit_packing, op5_document_fingerprints, op7_url_filters,
+        op9_source_mixing, op10_quality_rules)
 }
 
 ORACLES: dict[str, str] = {
     "op7_url_filters": url_filter.oracle_sql(),
+    "op9_source_mixing": mixing.oracle_sql(),
     "op10_quality_rules": quality_rules.oracle_sql(),
 }
