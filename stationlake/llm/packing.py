@@ -28,7 +28,8 @@ from stationlake.llm.common import parts, staged
 CAPACITY, END_ID, GROUP = 4096, 1, 16384
 #: Words whose ids a task remembers; beyond that it starts to remember anew.
 REMEMBERED = 400_000
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+#: Ids travel through pandas as text, so that nulls and large ids stay exact.
+PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 
 class WordIds(dict):
@@ -75,7 +76,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype(
                 {"piece": "int32", "start": "int64", "length": "int64", "ids_crc32": "int64"})
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInPandas(cut, PIECES)
+    return docs.select(docs["doc_id"].cast("string").alias("doc_id"), docs["text"]).mapInPandas(cut, PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -180,4 +181,5 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
         return f.drop(columns="sequence_group")
 
     dealt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).alias("sequence_group")
-    return cut.select("*", dealt).groupBy("sequence_group").applyInPandas(packed, PIECES + ", sequence_id long, offset long")
+    return cut.select("*", dealt).groupBy("sequence_group").applyInPandas(packed, PIECES + ", sequence_id long, offset long") \
+        .withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlake.llm import fingerprints, mixing, packing, quality_rules, simhash_dedup, url_filter
+from stationlake.llm import (
+    fingerprints, language_model, mixing, packing, quality_classifier, quality_rules, simhash_dedup, toxicity, url_filter,
+)
 from stationlake.llm.common import table
 
 
@@ -19,14 +21,28 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.score(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.report(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -37,8 +53,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash_near_dedup, op2_best_fit_packing, op5_document_fingerprints, op7_url_filters,
-        op9_source_mixing, op10_quality_rules)
+        op1_simhash_near_dedup, op2_best_fit_packing, op4_quality_classifier, op5_document_fingerprints,
+        op6_toxicity, op7_url_filters, op8_lm_scoring, op9_source_mixing, op10_quality_rules)
 }
 
 ORACLES: dict[str, str] = {

@@ -53,7 +53,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps = np.array([simhash(t, shingle) for t in f["text"]], np.uint64).view(np.int64)
             yield pd.DataFrame({"doc_id": f["doc_id"], "fp": fps})
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInPandas(hashed, "doc_id long, fp long")
+    return docs.select(docs["doc_id"].cast("string").alias("doc_id"), docs["text"]) \
+        .mapInPandas(hashed, "doc_id string, fp long").select(F.col("doc_id").cast("long").alias("doc_id"), "fp")
 
 
 def hex_of(fp: str) -> F.Column:
