@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stationlake.llm import (
-    fingerprints, language_model, mixing, packing, quality_classifier, quality_rules, simhash_dedup, toxicity, url_filter,
+    fingerprints, language_model, mixing, packing, quality_classifier, quality_rules, simhash_dedup, suffix_dedup,
+    toxicity, url_filter,
 )
 from stationlake.llm.common import table
 
@@ -21,6 +22,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_classifier.score(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels")))
@@ -53,7 +58,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash_near_dedup, op2_best_fit_packing, op4_quality_classifier, op5_document_fingerprints,
+        op1_simhash_near_dedup, op2_best_fit_packing, op3_suffix_array_dedup, op4_quality_classifier, op5_document_fingerprints,
         op6_toxicity, op7_url_filters, op8_lm_scoring, op9_source_mixing, op10_quality_rules)
 }
 

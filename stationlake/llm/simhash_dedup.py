@@ -46,27 +46,50 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long) for every row; one pass over the texts, no shuffle."""
+    """(doc_id, text_hash, fp long) for every row; one pass over the texts, no shuffle."""
 
     def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             fps = np.array([simhash(t, shingle) for t in f["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": f["doc_id"], "fp": fps})
+            yield pd.DataFrame({"doc_id": f["doc_id"], "text_hash": f["text_hash"], "fp": fps})
 
-    return docs.select(docs["doc_id"].cast("string").alias("doc_id"), docs["text"]) \
-        .mapInPandas(hashed, "doc_id string, fp long").select(F.col("doc_id").cast("long").alias("doc_id"), "fp")
+    rows = docs.select(docs["doc_id"].cast("string").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_hash"), docs["text"])
+    return rows.mapInPandas(hashed, "doc_id string, text_hash long, fp long") \
+        .select(F.col("doc_id").cast("long").alias("doc_id"), "text_hash", "fp")
 
 
 def hex_of(fp: str) -> F.Column:
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id and component_size of every row."""
+def classes(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """doc_id, text_hash, fp, component_id and component_size of every row."""
     fps = staged(fingerprints(docs, shingle), "simhash")
     nodes = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")).where("id is not null"), "nodes")
     joined = components(near_pairs(nodes, radius))
     roots = nodes.join(joined, "id", "left").select("fp", "n", F.coalesce("component", "id").alias("component_id"))
     sizes = roots.groupBy("component_id").agg(F.sum("n").alias("component_size"))
     named = roots.join(sizes, "component_id").select("fp", "component_id", "component_size")
-    return fps.join(named, "fp", "left").select("doc_id", hex_of("fp").alias("fingerprint"), "component_id", "component_size")
+    return fps.join(named, "fp", "left").select("doc_id", "text_hash", "fp", "component_id", "component_size")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id and component_size of every row."""
+    return classes(docs, shingle, radius).select("doc_id", hex_of("fp").alias("fingerprint"), "component_id", "component_size")
+
+
+def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of each component, that of its smallest id, with all its columns. Rows without an
+    id are grouped with what they link to, or else by their fingerprint."""
+    found = staged(classes(docs, shingle, radius), "components")
+    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    chosen = found.groupBy(group.alias("class")).agg(first).select(F.col("first.doc_id").alias("chosen_id"), F.col("first.text_hash").alias("chosen_hash"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("own_hash"), row)
+    same = F.col("own_id").eqNullSafe(F.col("chosen_id")) & (F.col("own_hash") == F.col("chosen_hash"))
+    kept = rows.join(chosen, same, "left_semi")
+    repeated = found.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
+    if repeated:  # rows that are there twice: only then are the kept texts shuffled once more
+        kept = kept.dropDuplicates(["own_id", "own_hash"])
+    return kept.select("row.*")

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,3 +118,26 @@ def score(docs: DataFrame, model: Network | float) -> DataFrame:
         .select(F.col("doc_id").cast("long").alias("doc_id"), "score")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                       (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def reject(docs: DataFrame, model: Network | float) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            at = 0
+            while at < len(texts):
+                stop, size = at, 0
+                while stop < len(texts) and (stop == at or size + len(texts[stop] or "") <= FRAME):
+                    size += len(texts[stop] or "")
+                    stop += 1
+                some = texts[at:stop]
+                if isinstance(model, float):
+                    scores = np.array([model if words_of(t) else 0.0 for t in some])
+                else:
+                    scores = document_scores(model, some)
+                yield batch.slice(at, stop - at).filter(pa.array(scores < THRESHOLD))
+                at = stop
+
+    return docs.mapInArrow(kept, docs.schema)
