@@ -105,18 +105,21 @@ def plan(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: int = SEE
 def apply(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
     """The mixed corpus in the columns of ``docs``: ``whole`` copies of a row, and one of its
     first ``part`` words where that is above 0 (the whole text where it is all of them)."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row")  # whatever its columns are called
-    sized = staged(docs.select("doc_id", "source", size_of(docs["text"]).alias("size")), "sizes")
-    mixed = mix(docs.select("doc_id", "source", size_of(docs["text"]).alias("size"), row), sized, weights, epochs, seed)
+    names = docs.columns
+    flat = docs.toDF(*[f"c{i}" for i in range(len(names))])  # whatever its columns are called
+    at = {c: F.col(f"c{names.index(c)}") for c in ("doc_id", "source", "text")}
+    own = [at["doc_id"].alias("doc_id"), at["source"].alias("source"), size_of(at["text"]).alias("size")]
+    mixed = mix(flat.select("*", *own), staged(flat.select(*own), "sizes"), weights, epochs, seed)
     copies = F.array_repeat(F.col("size"), F.col("whole").cast("int"))
     taken = F.when(F.col("part") > 0, F.concat(copies, F.array("part"))).otherwise(copies)
-    rows = mixed.select("mix_row", "size", F.explode(taken).alias("part"))
-    first = F.expr(r"concat_ws(' ', slice(regexp_extract_all(mix_row.text, '[^\\x20\\x09-\\x0D]+', 0), 1, cast(part as int)))")
-    text = F.when(F.col("part") >= F.col("size"), F.col("mix_row.text")).otherwise(first)
-    out = F.col("mix_row").withField("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withField("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return rows.select(out.alias("mix_row")).select("mix_row.*")
+    rows = mixed.select(*flat.columns, "size", F.explode(taken).alias("words"))
+    first = F.array_join(F.slice(F.regexp_extract_all(at["text"], F.lit(WORD_PATTERN), F.lit(0)), 1, F.col("words").cast("int")), " ")
+    cut = F.col("words") < F.col("size")
+    new = {"text": F.when(cut, first).otherwise(at["text"])}
+    if "n_chars" in names:
+        old = F.col(f"c{names.index('n_chars')}")
+        new["n_chars"] = F.when(cut, F.length(first).cast(docs.schema["n_chars"].dataType)).otherwise(old)
+    return rows.select(*[new.get(c, F.col(f"c{i}")).alias(c) for i, c in enumerate(names)])
 
 
 def oracle_sql() -> str:
