@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from stationlake.llm.common import parts, staged
 
 CAPACITY, END_ID, GROUP = 4096, 1, 16384
+#: Least filled bins of a group that the search takes documents out of.
+SOURCES = 64
 #: Words whose ids a task remembers; beyond that it starts to remember anew.
 REMEMBERED = 400_000
 #: Ids travel through pandas as text, so that nulls and large ids stay exact.
@@ -106,19 +108,20 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Local search: empties the least filled bin into the room of the others.
+def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int, sources: int = SOURCES) -> list[list[int]]:
+    """Local search: empties bins into the room of the others.
 
-    Each step moves a document out, or exchanges one of its documents, or two, for one of
-    another underfull bin, such that the other bin, at least as full, gains: the sum of
-    squared fills rises with every step, so the search ends. Stops when the bins are as
-    few as the tokens allow, or when the least filled bin allows no such step."""
+    Each step takes documents out of one of the ``sources`` least filled bins, the emptiest
+    first: it moves one, or exchanges one or two for one of another underfull bin, such that
+    the sum of squared fills rises; so the search ends. It stops when the bins are as few as
+    the tokens allow, or when no such step is left."""
     least = -(-int(lengths.sum()) // capacity)
     bins = [list(b) for b in bins]
     fill = [int(lengths[b].sum()) for b in bins]
     while len(bins) > least:
-        k = min(range(len(bins)), key=fill.__getitem__)
-        if not _step(bins, fill, k, lengths, capacity):
+        by_fill = sorted(range(len(bins)), key=fill.__getitem__)[:sources]
+        k = next((k for k in by_fill if fill[k] < capacity and _step(bins, fill, k, lengths, capacity)), None)
+        if k is None:
             break
         if not bins[k]:
             del bins[k], fill[k]
@@ -129,20 +132,21 @@ def _step(bins: list[list[int]], fill: list[int], k: int, lengths: np.ndarray, c
     others = [j for j in range(len(bins)) if j != k and fill[j] < capacity]
     if not others:
         return False
-    room = np.array([capacity - fill[j] for j in others])
+    fills = np.array([fill[j] for j in others])
+    room, behind = capacity - fills, fill[k] - fills  # a gain must be above ``behind`` to raise the squares
     own = sorted(bins[k], key=lambda i: -lengths[i])
     for i in own:  # move: where the least room stays
-        fits = np.flatnonzero(room >= lengths[i])
+        fits = np.flatnonzero((room >= lengths[i]) & (behind < lengths[i]))
         if len(fits):
             _exchange(bins, fill, k, [i], others[fits[np.argmin(room[fits])]], [], lengths)
             return True
     theirs = np.array([i for j in others for i in bins[j]])
     where = np.repeat(np.arange(len(others)), [len(bins[j]) for j in others])
-    size, most = lengths[theirs], room[where]
+    size, most, above = lengths[theirs], room[where], np.maximum(0, behind[where])
     pairs = [[a, b] for x, a in enumerate(own[:64]) for b in own[x + 1:64]]
     for mine in [[i] for i in own] + pairs:  # one for one, two for one: the largest gain
         gain = int(lengths[mine].sum()) - size
-        gain[gain > most] = 0
+        gain[(gain > most) | (gain <= above)] = 0
         at = int(np.argmax(gain))
         if gain[at] > 0:
             _exchange(bins, fill, k, mine, others[where[at]], [int(theirs[at])], lengths)

@@ -1,0 +1,114 @@
+"""The numpy parts on their own: integer packing, suffix sorting, bins, gradients, windows."""
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from stationlake.llm import difference_cover, packing, toxicity
+from stationlake.llm.exchange import bundle, pack, pack_sorted, slice_bounds, unbundle, unpack, unpack_sorted
+from stationlake.llm.recurrent import Network, Vocabulary, restrict, sigmoid
+
+
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=300))
+@settings(max_examples=60, deadline=None)
+def test_integers_round_trip(values):
+    a = np.array(values, np.uint64)
+    assert (unpack(pack(a)) == a).all()
+    assert (unpack_sorted(pack_sorted(np.sort(a))) == np.sort(a)).all()
+
+
+def test_large_planes_and_bundles_round_trip():
+    rng = np.random.default_rng(1)
+    for a in (rng.geometric(0.5, 70_000), rng.integers(0, 2**40, 70_000), np.zeros(70_000)):
+        assert (unpack(pack(a)) == a.astype(np.uint64)).all()
+    assert unbundle(bundle([b"", b"ab", b"c"])) == [b"", b"ab", b"c"] and unbundle(bundle([])) == []
+
+
+def test_slices_cut_the_whole_key_space():
+    keys = np.sort(np.random.default_rng(2).integers(0, 2**20, 999, dtype=np.uint64))
+    cut = slice_bounds(keys, 20, 7)
+    assert cut[0] == 0 and cut[-1] == 999 and (np.diff(cut) >= 0).all()
+    for s in range(7):
+        assert all(int(k) * 7 >> 20 in (s - 1, s, s + 1) for k in keys[cut[s]:cut[s + 1]])
+
+
+@given(st.lists(st.integers(0, 3), max_size=70), st.integers(1, 20))
+@settings(max_examples=150, deadline=None)
+def test_ranks_order_suffixes(symbols, need):
+    r = difference_cover.ranks(np.array(symbols, np.int64), need)
+    prefix = [tuple((symbols[i:] + [0] * need)[:need]) for i in range(len(symbols))]
+    for i, a in enumerate(prefix):
+        for j, b in enumerate(prefix):
+            assert a <= b if r[i] < r[j] else a == b if r[i] == r[j] else True
+
+
+def test_full_suffix_order():
+    s = np.random.default_rng(3).integers(0, 2, 400)
+    r = difference_cover.ranks(s, 400)
+    assert sorted(range(400), key=lambda i: list(s[i:])) == list(np.argsort(r))
+
+
+@given(st.lists(st.integers(1, 100), min_size=1, max_size=80))
+@settings(max_examples=80, deadline=None)
+def test_bins_hold_everything(sizes):
+    lengths = np.array(sizes)
+    start = packing.best_fit(lengths, 100)
+    bins = packing.improve(start, lengths, 100)
+    assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
+    assert all(lengths[b].sum() <= 100 for b in bins) and -(-lengths.sum() // 100) <= len(bins) <= len(start)
+
+
+def test_search_empties_a_bin_that_best_fit_leaves():
+    # one exchange makes room: 60+30 and 50+40 with 20 left over become 60+40 and 50+30+20
+    lengths = np.array([60, 30, 50, 40, 20])
+    assert len(packing.improve([[0, 1], [2, 3], [4]], lengths, 100)) == 2
+    # two for one: 25 + 26 against 50
+    lengths = np.array([50, 49, 25, 26, 50])
+    assert len(packing.improve([[0, 1], [2, 3], [4]], lengths, 101)) == 2
+
+
+def test_search_raises_squared_fill():
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(1, 70, 60)
+    bins = [[i] for i in range(60)]
+    fill = [int(x) for x in lengths]
+    for _ in range(40):
+        before = sum(f * f for f in fill)
+        if not packing._step(bins, fill, min(range(len(bins)), key=fill.__getitem__), lengths, 100):
+            break
+        assert sum(f * f for f in fill) > before
+        bins, fill = [b for b in bins if b], [f for b, f in zip(bins, fill) if b]
+
+
+def test_gradients_match_differences():
+    net, v = Network(4, 3), Vocabulary()
+    ids = v.ids([b"the", b"idiot,", b"a", b"b.", b"clown"])
+    seen = np.zeros((3, 6), np.int32)
+    seen[0, :5], seen[1, :2], seen[2, :3] = ids, ids[:2], ids[2:]
+    net.p = {k: a.astype(np.float64) for k, a in net.p.items()}
+    inputs, y = restrict(v.inputs(), np.arange(6)), np.array([1, 0, 1.0])
+
+    def loss():
+        out = net.forward(net.words(inputs).astype(np.float64), seen)
+        return np.sum(np.log1p(np.exp(out)) - y * out)
+
+    keep: dict = {}
+    x = net.words(inputs)
+    g = net.gradients(inputs, x, seen, sigmoid(net.forward(x, seen, keep)) - y, keep)
+    for k, a in net.p.items():
+        at = np.unravel_index(np.argmax(np.abs(g[k])), g[k].shape)
+        old = a[at]
+        a[at] = old + 1e-3
+        up = loss()
+        a[at] = old - 1e-3
+        down = loss()
+        a[at] = old
+        assert (up - down) / 2e-3 == pytest.approx(g[k][at], rel=0.02, abs=2e-4), k
+
+
+@pytest.mark.parametrize("n", [0, 1, 31, 32, 33, 48, 49, 500])
+def test_windows_cover_every_word(n):
+    seen, owner = toxicity.windows(np.arange(1, n + 1), np.array([n]))
+    assert set(seen[seen > 0]) == set(range(1, n + 1)) and (owner == 0).all()
+    assert len(seen) == (0 if n == 0 else max(0, -(-(n - 32) // 16)) + 1)
