@@ -7,6 +7,13 @@ rows, run-summary rows, a specification-limit history and a per-file import
 log -- all with built-in DataFrame operators.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from stationlake.session import build_session, checkpoint_root, staging_dir
 
 __all__ = ["build_session", "checkpoint_root", "staging_dir"]
+
+# functions of the library travel with the tasks, so executors need no copy of it
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

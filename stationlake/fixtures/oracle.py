@@ -183,7 +183,16 @@ def oracle_sql() -> dict[str, str]:
     li_bad = _li(bad=True)
     pre_bad_msg = "'line ' || line_no || ': invalid StartTime \"not-a-time\"'"
     return {
-        "inbox_listing": f"{_with(_SUPP)} SELECT file_path, csv_file FROM supp",
+        "inbox_listing": f"""{_with(_SUPP, li)}
+            SELECT csv_file, CAST(sum(octet_length(encode(value)) + 1) AS BIGINT) AS length FROM (
+              SELECT csv_file, value FROM ({_preamble_lines()})
+              UNION ALL SELECT csv_file, {_data_line()} AS value FROM li) GROUP BY csv_file""",
+        "unreadable_files": """
+            SELECT 'f' || l_suppkey || '.csv.gz' AS file_name,
+                   CASE WHEN l_suppkey % 10 = 0 THEN 0 ELSE 1 END AS success,
+                   CASE WHEN l_suppkey % 10 = 0 THEN 0 ELSE count(*) + 7 END AS n_lines,
+                   CASE WHEN l_suppkey % 10 = 0 THEN 'message: unreadable file' ELSE 'message: ' END AS message
+            FROM lineitem GROUP BY l_suppkey""",
         "scan_lines": f"SELECT 'f' || l_suppkey || '.csv' AS csv_file, count(*) + 7 AS n_lines "
                       f"FROM lineitem GROUP BY l_suppkey",
         "line_number": f"""{_with(_SUPP, li)}
@@ -292,7 +301,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_zip": _rendered_values(li),
         "scan_all": _rendered_values(li),
         "table_sink": f"""{_with(li, cells)}
-            SELECT {_MEAS_COLS}, strftime(starttime, '%Y-%m') AS start_month FROM cells
+            SELECT {_MEAS_COLS}, 's-' || station_name AS station_part, strftime(starttime, '%Y-%m') AS start_month FROM cells
             QUALIFY row_number() OVER (PARTITION BY product, station_name, station_id, serialnumber,
                                        starttime, version, item
                                        ORDER BY csv_file DESC, line_no DESC, pos DESC) = 1""",
@@ -302,7 +311,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_MEAS_COLS} FROM cells WHERE station_name = '{q.EXPORT_STATION}'
               AND starttime >= TIMESTAMP '{q.EXPORT_FROM}' AND starttime <= TIMESTAMP '{q.EXPORT_TO}'""",
         "export_text": f"""
-            SELECT '[' || event_id || ',' || CAST(ts AS VARCHAR) || ',' || user_id || ',' ||
+            SELECT '[' || event_id || ',' || CAST(ts AS VARCHAR) ||
+                   CASE WHEN contains(CAST(ts AS VARCHAR), '.') THEN '' ELSE '.0' END || ',' || user_id || ',' ||
                    event_type || ',' || CAST(value AS VARCHAR) || ',' || props || ']' AS line
             FROM ({_events_range()})""",
         "preview_top": "SELECT * FROM events ORDER BY event_id LIMIT 10",

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.operators.sequence import sequence_within_groups
+from stationlake.operators.sequence import split_groups_sequence
 
 RENDER_ROOT = "/rendered/station"
 
@@ -131,15 +131,11 @@ def render_lines(lineitem: DataFrame, bad: bool = False) -> DataFrame:
     """``LINES`` (file_path, csv_file, line_no, value) for one file per supplier."""
     li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                          "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
-    # one row per file: its line count (kept for the preamble lines and the skew check)
-    per_file = li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("_n")).cache()
-    largest = per_file.agg(F.max("_n").alias("m")).first()["m"] or 0
-    numbered = sequence_within_groups(li, ["l_suppkey"],
-                                      ["l_orderkey", "l_linenumber", "l_partkey"], "seq",
-                                      largest=int(largest))
+    numbered = split_groups_sequence(li, ["l_suppkey"],
+                                      ["l_orderkey", "l_linenumber", "l_partkey"], "seq")
     data = numbered.select("l_suppkey", (F.col("seq") + 7).alias("line_no"),
                            _data_value(bad).alias("value"))
-    pre = _preamble(per_file.select("l_suppkey"))
+    pre = _preamble(li.select("l_suppkey").distinct())
     both = pre.unionByName(data)
     name = F.concat(F.lit("f"), _str(_s()), F.lit(".csv"))
     return both.select(F.concat(F.lit(RENDER_ROOT + "/"), name).alias("file_path"),

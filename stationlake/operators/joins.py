@@ -7,12 +7,9 @@ from pyspark.sql import functions as F
 
 
 def broadcast_limit(spark) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        v = int(str(raw).lower().rstrip("b"))
-    except ValueError:
-        v = 10 * 1024 * 1024
-    return v if v > 0 else 0
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes, whatever unit it is written in."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+    return 0 if raw.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw)
 
 
 def measured_bytes(df: DataFrame, size_expr: Column) -> int:

@@ -60,8 +60,7 @@ def file_header(lines: DataFrame, dialect: Dialect = DEFAULT_DIALECT) -> DataFra
     header = F.transform(F.col("l_header"), lambda x: F.lower(x))
     version_field = F.get(F.col("l_station"), 1)
     file_version, version_err = file_version_parts(version_field)
-    station_err = (F.when(F.col("l_station").isNotNull() & (F.size("l_station") == 0), F.lit("E1"))
-                    .when(F.size("l_header") >= F.lit(1 << 20), F.lit("E10")))
+    station_err = F.when(F.col("l_station").isNotNull() & (F.size("l_station") == 0), F.lit("E1"))
     positions = [(out, (F.array_position(F.col("header"), name) - 1).cast("long"))
                  for name, out in d.common_columns]
     out = agg.select(
@@ -75,7 +74,7 @@ def file_header(lines: DataFrame, dialect: Dialect = DEFAULT_DIALECT) -> DataFra
     )
     out = out.select("*", *[p.alias(_pos_col(o)) for o, p in positions])
     pos_cols = [F.col(_pos_col(o)) for o, _ in positions]
-    vpos = F.col(_pos_col("version"))
+    vpos = F.col(_pos_col(d.version_output))
     out = out.select(
         "*",
         (vpos >= 0).alias("has_version"),
@@ -100,7 +99,6 @@ _PREAMBLE_MESSAGES = {
     "E1": "station line has no fields",
     "E2": "station line: no version after ':'",
     "E3": "station line: empty version list",
-    "E10": "header has more than 1048575 columns",
 }
 
 
@@ -143,11 +141,12 @@ def _with_row_fields(rows: DataFrame, d: Dialect) -> DataFrame:
     def common(out: str) -> Column:
         return F.get(f, F.col(_pos_col(out)).cast("int"))
 
-    version = F.when(F.col("has_version"), common("version")).otherwise(F.col("file_version"))
+    version = F.when(F.col("has_version"), common(d.version_output)).otherwise(
+        F.coalesce(F.col("file_version"), F.lit("")))
     start_txt, end_txt = common("starttime"), common("endtime")
     parts = station_id_parts(common("station_id"))
     cols = {out: common(out) for _, out in d.common_columns
-            if out not in ("version", "starttime", "endtime")}
+            if out not in (d.version_output, "starttime", "endtime")}
     n_fields = F.size(f).cast("long")
     first_item = F.when(F.col("first_item_pos") < n_fields, F.col("first_item_pos"))
     first_bad = F.when(F.col("first_bad_pos") < n_fields, F.col("first_bad_pos"))

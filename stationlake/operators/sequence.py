@@ -75,38 +75,6 @@ def run_index(df: DataFrame, keys: Sequence[str], out_col: str = "run_idx") -> D
     return df.mapInArrow(_run_index_batches(list(keys), out_col), schema)
 
 
-# Largest group (rows) that one task may number with a plain window.  Above it
-# the group is cut across range partitions instead.
-MAX_GROUP_ROWS_PER_TASK = 4_000_000
-
-
-def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
-    """Row count of the biggest group (one map-side-combined aggregate)."""
-    row = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-             .agg(F.max("_n").alias("m")).first())
-    return int(row["m"] or 0) if row else 0
-
-
-def sequence_within_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                           out_col: str = "seq", num_partitions: int | None = None,
-                           max_group_rows: int | None = MAX_GROUP_ROWS_PER_TASK,
-                           largest: int | None = None) -> DataFrame:
-    """Dense ``row_number()`` per group ordered by ``order_cols`` (assumed unique per group).
-
-    The largest group is measured first (a count per group, combined map-side).
-    When every group fits one task comfortably, a plain window is the cheapest
-    plan (one hash shuffle, codegen, no Python).  Otherwise the groups are cut
-    across range partitions (``split_groups_sequence``).  ``max_group_rows=None``
-    always takes the split path; ``largest`` passes an already measured size.
-    """
-    if largest is None and max_group_rows is not None:
-        largest = largest_group(df, group_cols)
-    if max_group_rows is not None and largest <= max_group_rows:
-        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-        return df.withColumn(out_col, F.row_number().over(w).cast("long"))
-    return split_groups_sequence(df, group_cols, order_cols, out_col, num_partitions)
-
-
 def split_groups_sequence(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                           out_col: str = "seq", num_partitions: int | None = None) -> DataFrame:
     """``row_number()`` per group without ever holding a whole group in one task.

@@ -79,14 +79,9 @@ def upsert_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORD
     return out.select(*[c for c in df.columns if c in out.columns])
 
 
-# A cell's place inside its file as one long: line_no * 2^20 + pos.  Exact because
-# an item cell always lies inside the header, and headers of 2^20 columns or
-# more are rejected as a preamble error.
-POS_BITS = 20
-
-
 def _line_pos() -> Column:
-    return F.col("line_no") * F.lit(1 << POS_BITS) + F.col("pos")
+    """A cell's place inside its file as one number of fixed width, for any line and column."""
+    return (F.col("line_no").cast("decimal(20,0)") * F.lit(1 << 31) + F.col("pos")).cast("decimal(38,0)")
 
 
 def _dims_of_station(station_id: Column) -> list[Column]:
@@ -118,7 +113,7 @@ def _stored_events(stored: DataFrame) -> DataFrame:
     """Stored history rows as sightings that sort before every new write."""
     return stored.select(*SPEC_KEY, "kind", "limit_value", F.col("seen_at").alias("starttime"),
                          F.lit(0).alias("_b"), F.lit("").alias("csv_file"),
-                         F.lit(-1).cast("long").alias("_lp"))
+                         F.lit(-1).cast("decimal(38,0)").alias("_lp"))
 
 
 def _history(cells: DataFrame, stored: DataFrame | None) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +18,7 @@ from stationlake.operators.parse import (data_rows, file_header, header_fits_bro
                                          preamble_message)
 from stationlake.plans.export import now_text
 from stationlake.schemas import DEFAULT_DIALECT, Dialect
+from stationlake.session import staged
 
 
 @dataclass
@@ -47,28 +47,35 @@ def file_errors(header: DataFrame, rows: DataFrame) -> DataFrame:
                        F.col("_e.err_pos").alias("err_pos"), F.col("_e.err_msg").alias("err_msg")))
 
 
+#: What the outcome of a row needs besides its fields; arrays and unpivot positions stay out.
+_ROW_ARRAYS = ("f", "header", "upper_limits", "lower_limits", "units", "common_pos")
+
+
 def parse_lines(lines: DataFrame, dialect: Dialect = DEFAULT_DIALECT, on_error: str = "quarantine",
-                persist: bool = True, header_is_small: bool | None = None) -> Parsed:
+                keep: bool = False, header_is_small: bool | None = None) -> Parsed:
     """Build every parse output from one ``LINES`` DataFrame.
 
-    ``LINES`` feeds two branches (preamble aggregate, data rows); with
-    ``persist`` it is computed once and kept MEMORY_AND_DISK -- a lost block
-    is recomputed from lineage, so executor loss is harmless.
+    With ``keep`` (imports, which use every output) headers and row outcomes are written once
+    to the shared folder, so the text is parsed once for them and once for the cells, whatever
+    number of tables follow; a query that wants one output leaves it off.
     """
     if on_error not in ("quarantine", "stop"):
         raise ValueError("on_error must be 'quarantine' or 'stop'")
-    if persist:
-        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
     header = file_header(lines, dialect)
+    if keep:
+        header = staged(header, "header")
     if header_is_small is None:
         header_is_small = header_fits_broadcast(header)
     rows = data_rows(lines, header, dialect, header_is_small=header_is_small)
     cells = make_cells(rows)
-    errs = file_errors(header, rows)
-    rejects = (rows.where(F.col("err_msg").isNotNull())
-                   .select("file_path", "csv_file", "line_no", "raw", "err_pos", "err_msg"))
+    outcome = rows.drop(*_ROW_ARRAYS).withColumn("raw", F.when(F.col("err_msg").isNotNull(), F.col("raw")))
+    if keep:
+        outcome = staged(outcome, "rows")
+    errs = file_errors(header, outcome)
+    rejects = (outcome.where(F.col("err_msg").isNotNull())
+                      .select("file_path", "csv_file", "line_no", "raw", "err_pos", "err_msg"))
     if on_error == "quarantine":
-        good_rows = rows.where(F.col("err_msg").isNull())
+        good_rows = outcome.where(F.col("err_msg").isNull())
         good_cells = cells.where(F.col("err_msg").isNull())
     else:
         # at most one row per file and narrower than the header: the header's
@@ -78,23 +85,22 @@ def parse_lines(lines: DataFrame, dialect: Dialect = DEFAULT_DIALECT, on_error:
         before = F.col("_stop_line").isNull() | (F.col("line_no") < F.col("_stop_line"))
         at = (F.col("line_no") == F.col("_stop_line")) & ~F.col("bad")
         good_cells = cells.join(stops, "file_path", "left").where(before | at).drop("_stop_line")
-        good_rows = (rows.join(stops, "file_path", "left")
-                         .where(F.col("err_msg").isNull() & before).drop("_stop_line"))
+        good_rows = (outcome.join(stops, "file_path", "left")
+                            .where(F.col("err_msg").isNull() & before).drop("_stop_line"))
     return Parsed(header, rows, cells, good_rows, good_cells, errs, rejects, header_is_small)
 
 
-def import_log(files: DataFrame, errors: DataFrame, with_clock: bool = True,
-               errors_small: bool = False) -> DataFrame:
+def import_log(files: DataFrame, errors: DataFrame, with_clock: bool = True) -> DataFrame:
     """One outcome row per file: (file_name, file_path, processed_at, message, success).
 
     ``files`` needs file_path and csv_file (or file_name); the error table has
-    at most one row per file (``errors_small``: measured small, broadcast it).
+    at most one row per file, with messages of any length: the join is left to AQE,
+    which sees their size.
     """
     if "file_name" not in files.columns:
         files = files.withColumnRenamed("csv_file", "file_name")
     f = files.select("file_path", "file_name").dropDuplicates(["file_path"])
     e = errors.select("file_path", "err_msg")
-    e = F.broadcast(e) if errors_small else e
     log = f.join(e, "file_path", "left").select(
         "file_name", "file_path",
         now_text("yyyy-MM-dd HH-mm-ss").alias("processed_at"),

@@ -12,15 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.fixtures.files import CODECS, write_mixed_files, write_text_files, write_zip_files
+from stationlake.fixtures.files import (CODECS, write_gzip_files, write_mixed_files, write_named_files,
+                                        write_text_files, write_zip_files)
 from stationlake.fixtures.render import load_lineitem, render_lines
 from stationlake.functions.text import split_fields
 from stationlake.operators import tables as tb
 from stationlake.plans.export import archive_dir, export_station, preview, row_text
+from stationlake.plans.ingest import ingest_lines, table_paths
 from stationlake.plans.pipeline import Parsed, import_log, import_summary, parse_lines
-from stationlake.schemas import MEASUREMENT_COLUMNS, RUN_META_KEY, SPEC_KEY
+from stationlake.schemas import MEASUREMENT_COLUMNS, MEASUREMENT_KEY, MEASUREMENT_SCHEMA, RUN_META_KEY, SPEC_KEY
 from stationlake.session import staging_dir
-from stationlake.sources.files import read_lines
+from stationlake.sources.files import inbox_listing, read_inbox, read_lines
+from stationlake.sources.tables import partition_cols_for, partition_schema, read_table
 
 # Fixed query parameters (part of the query definition, shared with the oracle SQL).
 EVENT_TYPE = "click"
@@ -49,17 +52,41 @@ def _events(spark, sf_dir):
 
 # --- sources and line operators ---------------------------------------------------------
 
+def _named_files(spark, sf_dir) -> str:
+    """The rendered files as files of their own, ``csv_file=<name>/part-*``."""
+    root = staging_dir(spark, "named-files")
+    write_named_files(lines_of(spark, sf_dir), root)
+    return root
+
+
+def _folder_name():
+    return F.regexp_extract("file_path", "csv_file=([^/]*)/", 1).alias("csv_file")
+
+
 def q_inbox_listing(spark, sf_dir):
-    return (lines_of(spark, sf_dir).where(F.col("line_no") == 1)
-            .select("file_path", "csv_file"))
+    return inbox_listing(spark, _named_files(spark, sf_dir), recursive=True).select(_folder_name(), "length")
 
 
 def q_scan_lines(spark, sf_dir):
-    return lines_of(spark, sf_dir).groupBy("csv_file").agg(F.count(F.lit(1)).alias("n_lines"))
+    lines = read_lines(spark, _named_files(spark, sf_dir), recursive=True)
+    return lines.select(_folder_name()).groupBy("csv_file").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 def q_line_number(spark, sf_dir):
-    return lines_of(spark, sf_dir).select("csv_file", "line_no", "value")
+    lines = read_lines(spark, _named_files(spark, sf_dir), recursive=True)
+    return lines.select(_folder_name(), "line_no", "value")
+
+
+def q_unreadable_files(spark, sf_dir):
+    """Gzip files of which every tenth breaks off: what each one yields, and its outcome."""
+    root = staging_dir(spark, "broken-files")
+    write_gzip_files(lines_of(spark, sf_dir), root, broken_every=10)
+    lines, unreadable = read_inbox(spark, root)
+    read = lines.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_lines"))
+    log = import_log(inbox_listing(spark, root), unreadable, with_clock=False)
+    return log.join(read, "file_path", "left").select(
+        "file_name", "success", F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
+        F.substring("message", 1, 24).alias("message"))
 
 
 def q_split_fields(spark, sf_dir):
@@ -190,13 +217,12 @@ def q_spec_table(spark, sf_dir):
 
 def q_import_log(spark, sf_dir):
     p = parsed_of(spark, sf_dir, bad=True)
-    return import_log(p.header, p.file_errors, with_clock=False, errors_small=p.header_is_small)
+    return import_log(p.header, p.file_errors, with_clock=False)
 
 
 def q_import_summary(spark, sf_dir):
     p = parsed_of(spark, sf_dir, bad=True)
-    return import_summary(import_log(p.header, p.file_errors, with_clock=False,
-                                     errors_small=p.header_is_small))
+    return import_summary(import_log(p.header, p.file_errors, with_clock=False))
 
 
 def q_partial_failure(spark, sf_dir):
@@ -233,17 +259,13 @@ def q_scan_all(spark, sf_dir):
 
 
 def q_table_sink(spark, sf_dir):
-    """Import the rendered files into stored tables and read the measurement table back."""
-    from stationlake.plans.ingest import ingest_lines, table_paths
-    from stationlake.sources.tables import read_table
-
+    """Import part of the rendered files, then all of them on top, and read the measurement table back."""
     lines = lines_of(spark, sf_dir)
     out = staging_dir(spark, "table-sink")
-    files = lines.where(F.col("line_no") == 1).select("file_path", "csv_file")
-    ingest_lines(spark, lines, files, out)
-    from stationlake.schemas import MEASUREMENT_SCHEMA
-    from pyspark.sql import types as T
-    schema = T.StructType(MEASUREMENT_SCHEMA.fields + [T.StructField("start_month", T.StringType())])
+    for batch in (lines.where(F.hash("csv_file") % 2 == 0), lines):
+        files = batch.where(F.col("line_no") == 1).select("file_path", "csv_file")
+        ingest_lines(spark, batch, files, out)
+    schema = partition_schema(MEASUREMENT_SCHEMA, partition_cols_for(MEASUREMENT_KEY))
     return read_table(spark, table_paths(out)["measurement"], schema)
 
 
@@ -276,6 +298,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inbox_listing": q_inbox_listing,
     "scan_lines": q_scan_lines,
     "line_number": q_line_number,
+    "unreadable_files": q_unreadable_files,
     "split_fields": q_split_fields,
     "file_preamble": q_file_preamble,
     "header_map": q_header_map,

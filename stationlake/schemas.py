@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -56,7 +56,11 @@ class Dialect:
     lower_line: int = LOWER_LINE
     unit_line: int = UNIT_LINE
     first_data_line: int = FIRST_DATA_LINE
-    extra: dict = field(default_factory=dict)
+
+    @property
+    def version_output(self) -> str:
+        """The output column that the version header feeds."""
+        return dict(self.common_columns)[self.version_header]
 
     @property
     def preamble_lines(self) -> int:

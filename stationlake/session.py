@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -68,3 +68,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def staging_dir(spark: SparkSession, purpose: str) -> str:
     """The name of a fresh folder below the shared one; Spark's writers create it."""
     return f"{checkpoint_root(spark).rstrip('/')}/staging/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Writes ``df`` once below the shared folder and reads it back: what follows does not
+    compute it again, and its files outlive any executor."""
+    path = staging_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,59 +1,68 @@
 """Incremental import with Structured Streaming.
 
-``readStream.text(inbox)`` -> ``foreachBatch`` -> the same ``ingest_lines`` as
-the batch import.  The file source hands over whole files per micro-batch,
-so per-file operators (line numbering, preamble) are valid inside a batch; the
-checkpoint records which files were taken, so a file is imported once even if
-moving it fails.  Every table write is an upsert/merge, so a replayed batch
-gives the same tables.
+The stream finds files, ``foreachBatch`` imports them: each micro-batch is a list of new
+paths that goes through the same readers and ``ingest_lines`` as the batch import, so codecs,
+zip archives and broken files are treated alike. The checkpoint records which files were
+taken, so a file is imported once even if moving it fails. Table writes are upserts or merges,
+and log and rejects are replaced by batch, so a replayed batch leaves the same tables.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stationlake.plans.ingest import archive_files, ingest_lines, table_paths
+from stationlake.plans.ingest import archive_files, ingest_lines, record_moves, table_paths
 from stationlake.schemas import DEFAULT_DIALECT, Dialect
-from stationlake.session import staging_dir
-from stationlake.sources.files import number_split_lines
+from stationlake.session import checkpoint_root, staged
+from stationlake.sources.files import file_path, inbox_listing, read_inbox
+
+#: Files of a micro-batch: their paths are listed on the driver.
+FILES_PER_TRIGGER = 10_000
+_FOUND = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+                       T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
+
 
+def stream_files(spark: SparkSession, inbox: str, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Streaming listing of the inbox: the paths of new files; no file is opened."""
+    return (spark.readStream.format("binaryFile").schema(_FOUND)
+            .option("maxFilesPerTrigger", str(max_files_per_trigger)).load(inbox)
+            .select(file_path().alias("file_path")))
 
-def stream_lines(spark: SparkSession, inbox: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of the inbox: (file_path, csv_file, block_start, value)."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return (reader.load(inbox)
-                  .select(F.col("_metadata.file_path").alias("file_path"),
-                          F.col("_metadata.file_name").alias("csv_file"),
-                          F.col("_metadata.file_block_start").alias("block_start"),
-                          F.col("_metadata.file_size").alias("_file_size"),
-                          "value")
-                  .where(~F.col("csv_file").endswith(".zip")))
+
+def import_batch(spark: SparkSession, paths: list[str], out_root: str, batch_id: str, inbox: str, *,
+                 archive_to: str | None = None, dialect: Dialect = DEFAULT_DIALECT, on_error: str = "quarantine") -> DataFrame:
+    """Imports the files of one micro-batch; returns its stored log rows."""
+    files = staged(inbox_listing(spark, paths), "listing")
+    lines, unreadable = read_inbox(spark, paths)
+    _, log = ingest_lines(spark, lines, files, out_root, dialect, on_error, batch_id=batch_id, unreadable=unreadable)
+    if archive_to:
+        moves = archive_files(log, inbox, archive_to, archive_to.rstrip("/") + "_FAILED")
+        record_moves(spark, moves, f"{out_root.rstrip('/')}/archived", batch_id)
+    return log
 
 
 def start_stream_ingest(spark: SparkSession, inbox: str, out_root: str, *,
                         checkpoint: str | None = None, archive_to: str | None = None,
-                        available_now: bool = True, max_files_per_trigger: int | None = None,
+                        available_now: bool = True, max_files_per_trigger: int = FILES_PER_TRIGGER,
                         dialect: Dialect = DEFAULT_DIALECT, on_error: str = "quarantine") -> StreamingQuery:
-    """Start the import stream; ``available_now`` processes what is there and stops."""
-    ckpt = checkpoint or staging_dir(spark, "stream-ingest-checkpoint")
+    """Start the import stream; ``available_now`` processes what is there and stops.
+
+    Without ``checkpoint`` the stream of this inbox and output always uses the same folder below
+    the shared one, so a restart knows which files were taken."""
+    name = hashlib.sha256(f"{inbox}\n{out_root}".encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/stream-ingest/{name}"
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        # line numbers need monotonically_increasing_id / a per-split pass, which
-        # streaming plans reject -- inside foreachBatch the frame is a batch frame
-        raw = df.persist()
-        lines = number_split_lines(raw)
-        files = raw.select("file_path", F.col("csv_file").alias("file_name")).distinct()
-        _, log = ingest_lines(spark, lines, files, out_root, dialect, on_error)
-        if archive_to:
-            archive_files(log, archive_to, archive_to.rstrip("/") + "_FAILED") \
-                .write.format("noop").mode("overwrite").save()
-        raw.unpersist()
-
-    writer = (stream_lines(spark, inbox, max_files_per_trigger).writeStream
+        paths = [r["file_path"] for r in df.collect()]  # at most max_files_per_trigger
+        if paths:
+            import_batch(df.sparkSession, paths, out_root, f"stream-{name}-{epoch_id}", inbox,
+                         archive_to=archive_to, dialect=dialect, on_error=on_error)
+
+    writer = (stream_files(spark, inbox, max_files_per_trigger).writeStream
               .foreachBatch(batch).option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

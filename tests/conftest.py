@@ -11,8 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from stationlake.session import build_session
 
-    s = build_session("local[4]", shuffle_partitions=8,
-                      extra={"spark.sql.files.openCostInBytes": "1024"})
+    s = build_session("local[4]", shuffle_partitions=8)
     yield s
     s.stop()
 

@@ -123,7 +123,7 @@ def test_pipeline_matches_model(spark, files):
         c, r = model(name, ls)
         exp_cells += c
         exp_rej += [(name, n) for n in r]
-    p = parse_lines(lines_df(spark, {k: "\n".join(v) + "\n" for k, v in named.items()}), persist=False)
+    p = parse_lines(lines_df(spark, {k: "\n".join(v) + "\n" for k, v in named.items()}))
     got_cells = [(r.csv_file, r.line_no, r.pos, r.item, r.value, r.upper, r.lower, r.unit)
                  for r in p.good_cells.collect()]
     got_rej = [(r.csv_file, r.line_no) for r in p.rejects.collect()]
@@ -177,7 +177,7 @@ def test_stop_mode_matches_model(spark, files):
         exp_cells += c
         exp_rows += [(name, n) for n in kept]
     p = parse_lines(lines_df(spark, {k: "\n".join(v) + "\n" for k, v in named.items()}),
-                    on_error="stop", persist=False)
+                    on_error="stop")
     got_cells = [(r.csv_file, r.line_no, r.pos, r.item, r.value, r.upper, r.lower, r.unit)
                  for r in p.good_cells.collect()]
     got_rows = [(r.csv_file, r.line_no) for r in p.good_rows.collect()]

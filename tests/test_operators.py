@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stationlake.operators.sequence import sequence_within_groups, split_groups_sequence
+from stationlake.operators.sequence import split_groups_sequence
 from stationlake.plans.export import export_station, preview, row_text
 
 
@@ -17,9 +17,7 @@ def test_split_numbering_with_hot_group(spark):
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")))
     bad = got.join(ref, ["g", "o"]).where("seq != rn").count()
     assert bad == 0 and got.count() == 20000
-    assert hot >= 1
-    assert sequence_within_groups(df, ["g"], ["o"], "seq", max_group_rows=10).join(
-        ref, ["g", "o"]).where("seq != rn").count() == 0
+    assert hot > 1
 
 
 def test_export_bounds_inclusive_and_pushed(spark, workdir):
@@ -34,7 +32,7 @@ def test_export_bounds_inclusive_and_pushed(spark, workdir):
     assert out.count() == 1
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(station_name), IsNotNull(starttime), EqualTo(station_name,DP2)" in plan
-    assert row_text(out).first().line == "[DP2,2017-01-11 09:39:18]"
+    assert row_text(out).first().line == "[DP2,2017-01-11 09:39:18.0]"
     assert preview(scan, 2, ["starttime"]).count() == 2
 
 
@@ -54,7 +52,7 @@ def test_create_tables_ddl(spark, workdir):
     for stmt in create_tables_sql("stationlake_test", f"{workdir}/db"):
         spark.sql(stmt)
     cols = [f.name for f in spark.table("stationlake_test.measurement").schema.fields]
-    assert cols[-2:] == ["station_name", "start_month"] and len(cols) == 26
+    assert cols[-2:] == ["station_part", "start_month"] and len(cols) == 27
     spec = spark.table("stationlake_test.spec").schema
     assert spec["upper"].dataType.simpleString() == "map<string,timestamp_ntz>"
     spark.sql("DROP DATABASE stationlake_test CASCADE")
@@ -68,3 +66,19 @@ def test_now_text_patterns(spark):
     r = spark.range(1).select(now_text("").alias("a"), now_text("yyyy-MM-dd HH-mm-ss").alias("b")).first()
     assert re.fullmatch(r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{3}", r.a)
     assert re.fullmatch(r"\d{4}-\d{2}-\d{2} \d{2}-\d{2}-\d{2}", r.b)
+
+
+def test_broadcast_limit_reads_units(spark):
+    from stationlake.operators.joins import broadcast_limit
+
+    for text, size in (("100MB", 100 << 20), ("5k", 5120), ("-1", 0), ("1234", 1234)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+        try:
+            assert broadcast_limit(spark) == size
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_row_text_of_times(spark):
+    df = spark.sql("select timestamp_ntz'2017-01-11 09:39:18' a, timestamp'2017-01-11 09:39:18.25' b, cast(null as timestamp) c, 1.5D d")
+    assert row_text(df).first().line == "[2017-01-11 09:39:18.0,2017-01-11 09:39:18.25,null,1.5]"
