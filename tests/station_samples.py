@@ -17,12 +17,25 @@ GOLDEN_HEADER = (
     "VD Shim Press Force,Dwell,Operator_ID,Mode,TestSeriesID"
 )
 GOLDEN_DISPLAY = "Display Name ----->"
-GOLDEN_PRIORITY = "PDCA Priority ----->,,,,,,,,,,," + ",".join(["0"] * 53)
-GOLDEN_UPPER = ("Upper Limit ----->,,,,,,,,,,,0.23,0.87,0.87,NA,NA,NA,0.09,NA,NA,0.09,NA,NA,0.09,"
-                + ",".join(["NA"] * 40))
-GOLDEN_LOWER = ("Lower Limit ----->,,,,,,,,,,,0.01,0.65,0.65,NA,NA,NA,0,NA,NA,0,NA,NA,0.00,"
-                + ",".join(["NA"] * 40))
-GOLDEN_UNIT = "Measurement Unit ----->,,,,,,,,,,," + ",".join(["NA"] * 53)
+GOLDEN_PRIORITY = (
+    "PDCA Priority ----->,,,,,,,,,,,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0"
+    ",0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0"
+)
+GOLDEN_UPPER = (
+    "Upper Limit ----->,,,,,,,,,,,0.23,0.87,0.87,NA,NA,NA,0.09,NA,NA,0.09,NA,NA,0.09,NA,NA,NA,N"
+    "A,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,N"
+    "A,NA,NA,NA,NA,NA,NA"
+)
+GOLDEN_LOWER = (
+    "Lower Limit ----->,,,,,,,,,,,0.01,0.65,0.65,NA,NA,NA,0,NA,NA,0,NA,NA,0.00,NA,NA,NA,NA,NA,N"
+    "A,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,N"
+    "A,NA,NA,NA,NA"
+)
+GOLDEN_UNIT = (
+    "Measurement Unit ----->,,,,,,,,,,,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA"
+    ",NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA,NA"
+    ",NA,NA,NA,NA"
+)
 GOLDEN_ROW = (
     "D22,C3970130009HP2NA6,,,,FXGL_C03-5FT-02B_1_AE-22,PASS,2017-01-14 15:31:30,"
     "2017-01-14 15:31:30,,BZ-02.01-25.41-71.84-01.04_1.2.1,.121,.769,.754,.568,1.293,1.299,.058,"
