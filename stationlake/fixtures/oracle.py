@@ -254,6 +254,29 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_META_COLS} FROM li
             QUALIFY row_number() OVER (PARTITION BY product, station_name, station_id, serialnumber,
                                        starttime, version ORDER BY csv_file DESC, line_no DESC) = 1""",
+        "run_meta_latest": f"""{_with(li)}
+            SELECT {_META_COLS} FROM li
+            QUALIFY row_number() OVER (PARTITION BY product, station_id, station_name, version
+                                       ORDER BY csv_file DESC, line_no DESC) = 1""",
+        "second_dialect": f"""{_with(li, cells)}
+            SELECT csv_file, line_no, pos, item, value FROM cells""",
+        "file_outcomes": f"""{_with(li)},
+            f AS (SELECT l_suppkey, l_suppkey % 8 AS kind, any_value(n_common) AS n_common, count(*) AS cnt,
+                         min(CASE WHEN l_discount <> 0 OR l_tax <> 0 THEN line_no END) AS short_line,
+                         count(*) FILTER (l_discount = 0 AND l_tax = 0) AS cnt_short
+                  FROM li GROUP BY l_suppkey),
+            m AS (SELECT *, CASE
+                    WHEN kind = 1 THEN 'station line has no fields'
+                    WHEN kind = 2 THEN 'station line: no version after '':'''
+                    WHEN kind = 3 THEN 'station line: empty version list'
+                    WHEN kind = 5 AND cnt >= 2 THEN 'line 9, position ' || (n_common + 4) || ': more fields than the header'
+                    WHEN kind = 6 AND short_line IS NOT NULL
+                      THEN 'line ' || short_line || ', position ' || (n_common + 2) || ': no upper limit'
+                    WHEN kind = 7 THEN 'line 8: invalid StartTime "null"' END AS err FROM f)
+            SELECT 'f' || l_suppkey || '.csv' AS file_name, CASE WHEN err IS NULL THEN 1 ELSE 0 END AS success,
+                   'message: ' || coalesce(err, '') AS message,
+                   CASE WHEN kind IN (1, 2, 3, 4) THEN 0 WHEN kind = 6 THEN cnt_short
+                        WHEN kind = 7 OR kind = 5 AND cnt >= 2 THEN cnt - 1 ELSE cnt END AS n_rows FROM m""",
         "measurement_upsert": f"""{_with(li, cells)}
             SELECT {_MEAS_COLS} FROM cells
             QUALIFY row_number() OVER (PARTITION BY {_SPEC_KEY}

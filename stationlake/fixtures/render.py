@@ -143,5 +143,22 @@ def render_lines(lineitem: DataFrame, bad: bool = False) -> DataFrame:
                        "value")
 
 
+def damaged(lines: DataFrame) -> DataFrame:
+    """Rendered lines with one kind of fault per file, by the number in its name modulo 8: 1 no station
+    fields, 2 no version after the colon, 3 an empty version list, 4 only five lines, 5 a data line
+    longer than the header, 6 a short line of upper limits, 7 a blank data line."""
+    number = F.regexp_extract("csv_file", r"(\d+)", 1).cast("int")
+    kind, line, value = number % 8, F.col("line_no"), F.col("value")
+    kept = F.when(number % 2 == 0, 9).otherwise(8)  # the common columns and two items
+    out = (F.when((line == 1) & (kind == 1), F.lit(",,,"))
+            .when((line == 1) & (kind == 2), F.lit("ST,Version"))
+            .when((line == 1) & (kind == 3), F.lit("ST,Version:;"))
+            .when((line == 9) & (kind == 5), F.concat(value, F.lit(",more")))
+            .when((line == 5) & (kind == 6), F.array_join(F.slice(F.split(value, ","), F.lit(1), kept), ","))
+            .when((line == 8) & (kind == 7), F.lit(""))
+            .otherwise(value))
+    return lines.where((kind != 4) | (line <= 5)).withColumn("value", out)
+
+
 def load_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet")

@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from stationlake.fixtures.files import (CODECS, write_gzip_files, write_mixed_files, write_named_files,
                                         write_text_files, write_zip_files)
-from stationlake.fixtures.render import load_lineitem, render_lines
+from stationlake.fixtures.render import damaged, load_lineitem, render_lines
 from stationlake.functions.text import split_fields
 from stationlake.operators import tables as tb
 from stationlake.plans.export import archive_dir, export_station, preview, row_text
 from stationlake.plans.ingest import ingest_lines, table_paths
 from stationlake.plans.pipeline import Parsed, import_log, import_summary, parse_lines
-from stationlake.schemas import MEASUREMENT_COLUMNS, MEASUREMENT_KEY, MEASUREMENT_SCHEMA, RUN_META_KEY, SPEC_KEY
+from stationlake.schemas import (MEASUREMENT_COLUMNS, MEASUREMENT_KEY, MEASUREMENT_SCHEMA, RUN_META_KEY,
+                                 SPEC_KEY, Dialect)
 from stationlake.session import staging_dir
 from stationlake.sources.files import inbox_listing, read_inbox, read_lines
 from stationlake.sources.tables import partition_cols_for, partition_schema, read_table
@@ -235,6 +236,28 @@ def q_rejects(spark, sf_dir):
     return p.rejects.select("csv_file", "line_no", "err_msg")
 
 
+def q_file_outcomes(spark, sf_dir):
+    """Files with every kind of preamble and row fault: outcome, message and rows that are kept."""
+    p = parse_lines(damaged(lines_of(spark, sf_dir)))
+    kept = p.good_rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows"))
+    log = import_log(p.header, p.file_errors, with_clock=False)
+    return log.join(kept, "file_path", "left").select("file_name", "success", "message",
+                                                      F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+def q_second_dialect(spark, sf_dir):
+    """The same files with another separator."""
+    lines = lines_of(spark, sf_dir).withColumn("value", F.translate("value", ",", "|"))
+    p = parse_lines(lines, Dialect(separator="|"))
+    return p.good_cells.select("csv_file", "line_no", "pos", "item", "value")
+
+
+def q_run_meta_latest(spark, sf_dir):
+    """The last run of each product, station and version: keys that repeat many times."""
+    meta = tb.run_meta(_rows(spark, sf_dir), keep_order=True)
+    return tb.upsert_latest(meta, ("product", "station_id", "station_name", "version"))
+
+
 # --- file sources: rendered lines written as files and read back -------------------------
 
 def q_scan_compressed(spark, sf_dir):
@@ -321,6 +344,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "import_summary": q_import_summary,
     "partial_failure": q_partial_failure,
     "rejects": q_rejects,
+    "file_outcomes": q_file_outcomes,
+    "second_dialect": q_second_dialect,
+    "run_meta_latest": q_run_meta_latest,
     "scan_compressed": q_scan_compressed,
     "scan_zip": q_scan_zip,
     "scan_all": q_scan_all,
