@@ -77,23 +77,24 @@ def mix(docs: DataFrame, sized: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     bucket = F.floor(F.conv(F.substring("mix_order", 1, 8), 16, 10).cast("long") * buckets / (1 << 32)).cast("int")
 
+    # never null, so that the running sums and the join below share one dealing of the rows
+    key = F.when(F.col("source").isNull(), F.lit("none")).otherwise(F.concat(F.lit("s-"), F.col("source"))).alias("mix_source")
+
     def placed(df: DataFrame) -> DataFrame:
-        return df.withColumn("mix_order", order).withColumn("mix_bucket", bucket)
-
-    sums = placed(sized).groupBy("source", "mix_bucket").agg(F.sum("size").alias("bucket_size"))
-    earlier = Window.partitionBy("source").orderBy("mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("source", "mix_bucket", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)).alias("bucket_before"))
-    goals = targets(sized, weights, epochs).withColumnRenamed("source", "goal_source")
-    sums = sums.join(goals, F.col("source").eqNullSafe(F.col("goal_source"))).drop("goal_source") \
-        .withColumnsRenamed({"source": "sum_source", "mix_bucket": "sum_bucket"})
-    inside = Window.partitionBy("source", "mix_bucket").orderBy("mix_order", "doc_id", "size") \
+        return df.select("*", key).withColumn("mix_order", order).withColumn("mix_bucket", bucket)
+
+    sums = placed(sized).groupBy("mix_source", "mix_bucket").agg(F.sum("size").alias("bucket_size"))
+    earlier = Window.partitionBy("mix_source").orderBy("mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("mix_source", "mix_bucket", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)).alias("bucket_before"))
+    sums = sums.join(targets(sized, weights, epochs).select("*", key).drop("source"), "mix_source")
+    inside = Window.partitionBy("mix_source", "mix_bucket").orderBy("mix_order", "doc_id", "size") \
         .rowsBetween(Window.unboundedPreceding, -1)
     rows = placed(docs).withColumn("inside_before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    rows = rows.join(sums, rows["source"].eqNullSafe(F.col("sum_source")) & (F.col("mix_bucket") == F.col("sum_bucket")))
+    rows = rows.join(sums, ["mix_source", "mix_bucket"])
     before = F.col("bucket_before") + F.col("inside_before")
     part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("beyond") - before))
     return rows.withColumn("part", part).withColumn("taken", F.col("whole") * F.col("size") + F.col("part")) \
-        .drop("mix_order", "mix_bucket", "inside_before", "sum_source", "sum_bucket", "bucket_before", "beyond")
+        .drop("mix_source", "mix_order", "mix_bucket", "inside_before", "bucket_before", "beyond")
 
 
 def plan(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
