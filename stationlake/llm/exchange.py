@@ -13,17 +13,29 @@ import zlib
 import numpy as np
 
 
+RAW, ZERO, MATCHED, CODED = range(4)
+
+
+def _coded(plane: bytes) -> bytes:
+    packer = zlib.compressobj(1, zlib.DEFLATED, zlib.MAX_WBITS, 9, zlib.Z_HUFFMAN_ONLY)
+    return packer.compress(plane) + packer.flush()
+
+
 def pack(values: np.ndarray) -> bytes:
-    """Non-negative integers as bytes."""
+    """Non-negative integers as bytes: each plane of bytes as it is, left out if zero, or
+    compressed with or without matches, whichever a part of it suggests."""
     planes = np.ascontiguousarray(values, np.uint64).view(np.uint8).reshape(-1, 8)
     body = []
     for i in range(8):
-        plane = np.ascontiguousarray(planes[:, i]).tobytes()
-        some = zlib.compress(plane[:4096], 1)
-        if len(some) < 0.9 * len(plane[:4096]):
-            plane, kind = zlib.compress(plane, 1), 1
+        column = np.ascontiguousarray(planes[:, i])
+        plane = column.tobytes()
+        if not column.any():
+            kind, plane = ZERO, b""
         else:
-            kind = 0
+            some = plane[:1 << 14]
+            sizes = {RAW: 0.95 * len(some), MATCHED: len(zlib.compress(some, 1)), CODED: len(_coded(some))}
+            kind = min(sizes, key=sizes.get)
+            plane = zlib.compress(plane, 1) if kind == MATCHED else _coded(plane) if kind == CODED else plane
         body.append(struct.pack("<BI", kind, len(plane)) + plane)
     return struct.pack("<I", len(values)) + b"".join(body)
 
@@ -34,7 +46,8 @@ def unpack(body: bytes) -> np.ndarray:
     for i in range(8):
         kind, size = struct.unpack_from("<BI", body, at)
         raw = body[at + 5:at + 5 + size]
-        planes[:, i] = np.frombuffer(zlib.decompress(raw) if kind else raw, np.uint8)
+        if kind != ZERO:
+            planes[:, i] = np.frombuffer(raw if kind == RAW else zlib.decompress(raw), np.uint8)
         at += 5 + size
     return planes.view(np.uint64).ravel()
 

@@ -43,7 +43,7 @@ FOLDS, HELD_FOLD, ORDER = 7, 2, 3
 #: Smoothing priors of contexts of one and two words.
 PRIORS = (50.0, 10.0)
 #: Characters of a chunk, and of the corpus for each slice of the key space.
-CHUNK, SLICE = 16 << 20, 8 << 20
+CHUNK, SLICE = 6 << 20, 8 << 20
 END, START = b"\n", b"\r"  # no word has these bytes
 OUT = ("doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
        "base_score double, score double")
@@ -57,7 +57,7 @@ def key_bits(chars: int) -> tuple[int, int]:
     """Bits of the hashes of words and of longer n-grams, such that collisions stay as rare
     in a large corpus as in a small one."""
     size = max(1, math.ceil(math.log2(max(2, chars))))
-    return min(64, 26 + size), min(64, 22 + size)
+    return min(64, 26 + size), min(64, 18 + size)
 
 
 class Chunk:
