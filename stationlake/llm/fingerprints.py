@@ -16,6 +16,8 @@ row succeeds itself. Other columns are ignored; an empty table gives an empty re
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,7 +60,7 @@ def likeness(a: Column, b: Column) -> Column:
 def _ranges(docs: DataFrame, n: int) -> tuple[list[int], DataFrame]:
     """Bounds that cut the ids in about ``n`` ranges, and the largest id of each range with the
     range above it, whose last row it succeeds (the largest of all succeeds the last row)."""
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n).alias("c")).first()["c"] if n > 1 else []
+    cuts = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], min(100 * n, 1_000_000)).alias("c")).first()["c"] if n > 1 else []
     cuts = sorted(set(cuts or []))
     tops = docs.groupBy(_range_of(cuts).alias("range")).agg(F.max("doc_id").alias("top"))
     above = F.lead("range").over(Window.orderBy("range"))  # one row for each range
@@ -67,11 +69,17 @@ def _ranges(docs: DataFrame, n: int) -> tuple[list[int], DataFrame]:
 
 
 def _range_of(cuts: list[int]) -> Column:
-    """Range 0 holds null ids and the smallest ones."""
+    """How many cuts are below the id, found in two steps of about the root of their number;
+    range 0 holds null ids and the smallest ones."""
     if not cuts:
         return F.lit(0)
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
-    return F.coalesce(F.size(bounds) - F.size(F.filter(bounds, lambda b: b >= F.col("doc_id"))), F.lit(0))
+    step = math.isqrt(len(cuts)) + 1
+    blocks = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    below = lambda bounds: F.size(F.filter(bounds, lambda b: b < F.col("doc_id")))
+    longs = lambda values: F.array(*[F.lit(c).cast("long") for c in values])
+    block = below(longs([b[0] for b in blocks]))  # blocks that begin below the id
+    inside = below(F.get(F.array(*[longs(b) for b in blocks]), block - 1))
+    return F.coalesce(F.when(block > 0, (block - 1) * step + inside), F.lit(0))
 
 
 def edited_pairs(docs: DataFrame, ranges: int | None = None) -> DataFrame:
