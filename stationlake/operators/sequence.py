@@ -20,11 +20,12 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stationlake.session import staged
+
 
 def _run_index_batches(keys: list[str], out_col: str):
     """mapInArrow body: 1-based position inside runs of equal ``keys``.
@@ -79,26 +80,24 @@ def split_groups_sequence(df: DataFrame, group_cols: Sequence[str], order_cols:
                           out_col: str = "seq", num_partitions: int | None = None) -> DataFrame:
     """``row_number()`` per group without ever holding a whole group in one task.
 
-    Plan: one range shuffle on (group, order), kept MEMORY_AND_DISK, read by a
-    local numbering pass and by a tiny per-partition count; the counts become a
-    table with one row per partition, broadcast back.
+    Plan: one range shuffle on (group, order) and a local numbering pass, written once to the
+    shared folder; the size of every group's part in every partition becomes a table with one
+    row per partition, broadcast back.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group_cols, order_cols = list(group_cols), list(order_cols)
     keys = group_cols + order_cols
-    # Both branches below (counts, local numbering) must see the *same* partitions:
-    # two separately planned range exchanges sample different bounds.  The
-    # persisted exchange output is shared; a lost block is rebuilt from the same
-    # shuffle (bounds are fixed once per plan), so the numbering stays stable.
+    # both branches below read what one execution of the range shuffle has written: two
+    # separately planned range exchanges would sample different bounds
     ranged = (df.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
-                .withColumn("_pid", F.spark_partition_id())
-                .persist(StorageLevel.MEMORY_AND_DISK))
+                .withColumn("_pid", F.spark_partition_id()))
+    local = staged(run_index(ranged, group_cols, "_local"), "numbered")
     gkey = F.struct(*group_cols)
 
-    # rows of every group in every partition (map-side partial counts: tiny shuffle)
-    per_part = ranged.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    # rows of every group in every partition (map-side partial maxima: tiny shuffle)
+    per_part = local.groupBy("_pid", *group_cols).agg(F.max("_local").alias("_n"))
     # rows of the same group in earlier partitions
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     per_part = per_part.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
@@ -109,7 +108,6 @@ def split_groups_sequence(df: DataFrame, group_cols: Sequence[str], order_cols:
                        .select("_pid", F.col("_first.g").alias("_first_g"),
                                F.col("_first.b").alias("_offset")))
 
-    local = run_index(ranged, group_cols, "_local")
     # bounded by the number of partitions n -> broadcast is safe at any data size
     joined = local.join(F.broadcast(offsets), "_pid", "left")
     seq = F.col("_local") + F.when(gkey == F.col("_first_g"), F.col("_offset")).otherwise(F.lit(0))
