@@ -14,6 +14,9 @@ on its own. Other input columns are ignored; an empty table gives an empty resul
 from __future__ import annotations
 
 import os
+import re
+import sys
+import types
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -29,34 +32,74 @@ CAPACITY, END_ID, GROUP = 4096, 1, 16384
 #: Least filled bins of a group that the search takes documents out of.
 SOURCES = 64
 #: Words whose ids a task remembers; beyond that it starts to remember anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: Ids travel through pandas as text, so that nulls and large ids stay exact.
 PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 
+#: A run of letters, then a run of ASCII marks without the apostrophe: two separate inputs of the merges.
+_LETTERS_MARKS = re.compile(r"([^\W\d_]*)([!-&(-/:-@\[-`{-~]*)")
+#: The last letter of the blocks whose letters have no other composed form; only U+0130 lower-cases to two characters.
+_LATIN_END, _DOTTED = "\u024f", "\u0130"
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write each byte as a printable character: itself, or the next free one from 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordIds(dict):
     """Token ids of words as little-endian unsigned 32-bit bytes, learnt on first sight.
 
     The tokenizer drops white space and never merges across it, so a text's ids are
-    those of its words in order."""
+    those of its words in order. Latin letters with marks behind them, which need no
+    normalisation but lower case, go straight to the merges; other words are encoded whole."""
 
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.letters, self.parts = Tokenizer.from_file(path), _byte_letters(), {}
+        self.merges = self.tokenizer.model
+
+    @classmethod
+    def of_worker(cls, path: str) -> WordIds:
+        """The one that earlier tasks in the same Python worker have filled."""
+        home = sys.modules.setdefault("stationlake_word_ids", types.ModuleType("stationlake_word_ids"))
+        if path not in home.__dict__:
+            home.__dict__[path] = cls(path)
+        return home.__dict__[path]
+
+    def _part(self, text: str, marks: bool) -> bytes:
+        if text not in self.parts:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids if marks else \
+                [t.id for t in self.merges.tokenize(text.encode().decode("latin-1").translate(self.letters))]
+            self.parts[text] = np.array(ids, "<u4").tobytes()
+        return self.parts[text]
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        encoded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        for w, e in zip(new, encoded):
-            self[w] = np.array(e.ids, "<u4").tobytes()
+        others = []
+        for raw in words:
+            if raw in self:
+                continue
+            word = raw.decode()
+            split = _LETTERS_MARKS.fullmatch(word)
+            if split and (raw.isascii() or (max(split[1], default="a") <= _LATIN_END and _DOTTED not in word)):
+                letters, marks = split[1].lower(), split[2]
+                self[raw] = (self._part(letters, False) if letters else b"") + (self._part(marks, True) if marks else b"")
+            else:
+                others.append(word)
+        for word, e in zip(others, self.tokenizer.encode_batch(others, add_special_tokens=False)):
+            self[word.encode()] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
         words = (text or "").encode().split()
         if len(self) > REMEMBERED:
             self.clear()
+            self.parts.clear()
         self.learn(set(words))
         return b"".join(map(self.__getitem__, words))
 
@@ -67,7 +110,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = WordIds(tokenizer)
+        ids_of = WordIds.of_worker(tokenizer)
         for f in frames:
             out = []
             for doc_id, text in zip(f["doc_id"].tolist(), f["text"].tolist()):
