@@ -13,8 +13,9 @@ parts of the texts that can match at all:
 3. Each chunk removes what has a smaller id elsewhere.
 
 An anchor found more than ``HOT`` times is not gathered in one slice: its matches are then dealt by
-their own ``need`` bytes. Only hashes and the surroundings of shared anchors are exchanged; a
-chunk's texts are dealt out once, by id, and met again where answers return.
+their own ``need`` bytes. Only hashes and the surroundings of shared anchors are exchanged, and only
+where there are some, so the rows exchanged are never more than the anchors; a chunk's texts are
+dealt out once, by id, and met again where answers return.
 
 Null text counts as empty; texts shorter than ``need`` bytes lose nothing. A null id counts as the
 largest. Rows with the same id never match each other. Other columns pass through :func:`strip`
@@ -32,14 +33,15 @@ import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationlake.llm.common import parts
 from stationlake.llm.difference_cover import match_classes
 from stationlake.llm.exchange import bundle, mixed, pack, pack_sorted, slice_bounds, unbundle, unpack, unpack_sorted
 
 NEED, GRAM, HOT = 50, 20, 200_000
-#: Bytes of text in a chunk and for each slice; bytes whose suffixes are sorted at a time.
-CHUNK, SLICE, SORTED = 4 << 20, 4 << 20, 3 << 20
+#: Bytes of text in a chunk and for each slice; bytes whose suffixes are sorted, and hashed, at a time.
+CHUNK, SLICE, SORTED, HASHED = 4 << 20, 4 << 20, 1 << 20, 1 << 20
 NO_ID = (1 << 64) - 1
 ROWS = "slice int, chunk long, memo boolean, body binary"
 _ARROW = pa.schema([("slice", pa.int32()), ("chunk", pa.int64()), ("memo", pa.bool_()), ("body", pa.binary())])
@@ -47,6 +49,7 @@ _PLACE = (1 << 24) - 1
 
 
 def _rows(slices, chunks, memo: bool, bodies) -> pa.Table:
+    slices, chunks, bodies = list(slices), list(chunks), list(bodies)
     return pa.table([pa.array(slices, pa.int32()), pa.array(chunks, pa.int64()), pa.array([memo] * len(bodies), pa.bool_()),
                      pa.array(bodies, pa.binary())], schema=_ARROW)
 
@@ -78,7 +81,7 @@ class Texts:
         done = 0
         while done < len(self.raw):
             stop, size = done, 0
-            while stop < len(self.raw) and (stop == done or size + self.sizes[stop] <= _PLACE >> 2):
+            while stop < len(self.raw) and (stop == done or size + self.sizes[stop] <= HASHED):
                 size += int(self.sizes[stop])
                 stop += 1
             for columns, values in zip(out, self._anchors(done, stop)):
@@ -88,33 +91,30 @@ class Texts:
         return [np.concatenate(c) if c else e for c, e in zip(out, empty)]
 
     def _anchors(self, lo: int, hi: int):
-        base = int(self.first[lo])
-        sizes = self.sizes[lo:hi]
+        """Of one long document, read piece by piece, or of several that are one piece together.
+        A run that a piece cuts counts as two."""
+        base, sizes = int(self.first[lo]), self.sizes[lo:hi]
         whole = np.frombuffer(self.text, np.uint8)[base:base + int(sizes.sum())]
-        pieces, overlap = [], self.need  # a single very long text is read piece by piece
-        step = (_PLACE >> 1) - overlap
-        for at in range(0, max(1, len(whole)), step):
-            pieces.append(self._piece(whole[at:at + step + overlap - 1], at, step))
-        key, place, start = (np.concatenate(c) for c in zip(*pieces))
-        if not len(start):
-            return key, place, start, start, start
-        doc = np.searchsorted(self.first[lo:hi], start, "right") - 1
-        # empty texts share the start of the next one; the last of equals is the one with bytes
-        ends = self.first[lo:hi] - base + sizes
-        doc = np.searchsorted(ends, start, "right")
-        fits = start + self.need <= ends[np.minimum(doc, len(ends) - 1)]
-        key, place, start, doc = key[fits], place[fits], start[fits], doc[fits]
-        new = np.ones(len(start), bool)
-        new[1:] = (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1) | (doc[1:] != doc[:-1])
-        at = np.flatnonzero(new)
-        count = np.diff(np.append(at, len(start)))
-        return key[at], place[at] + base, start[at] + base, count, doc[at] + lo
+        out = [[] for _ in range(5)]
+        for offset in range(0, max(1, len(whole)), 2 * HASHED):
+            key, place = self._piece(whole[offset:offset + 2 * HASHED + self.need - 1], offset, 2 * HASHED)
+            start = np.arange(offset, offset + len(place))
+            doc = np.repeat(np.arange(hi - lo), sizes)[:len(start)] if hi - lo > 1 else np.zeros(len(start), np.int64)
+            fits = start + self.need <= (self.first[lo:hi] - base + sizes)[doc]
+            new = fits.copy()
+            new[1:] &= (place[1:] != place[:-1]) | ~fits[:-1]
+            at = np.flatnonzero(new)
+            total = np.concatenate([[0], np.cumsum(fits)])
+            count = np.diff(np.append(total[at], total[-1]))
+            for column, values in zip(out, (key[at], place[at] + base, start[at] + base, count, doc[at] + lo)):
+                column.append(values)
+        return [np.concatenate(c) for c in out]
 
     def _piece(self, b: np.ndarray, offset: int, step: int):
-        """Anchor key and place of each start in a piece."""
+        """Anchor key and place of each start in a piece, in order."""
         width = self.need - self.gram + 1
         if len(b) < self.need:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         hashes = _gram_hashes(b, self.gram)
         least = (hashes & np.uint64(~_PLACE & NO_ID)) | np.arange(len(hashes), dtype=np.uint64)
         have, total = 1, least
@@ -125,7 +125,7 @@ class Texts:
             total = np.minimum(total[:len(hashes) - width + 1], total[width - have:])
         total = total[:step]
         place = (total & np.uint64(_PLACE)).astype(np.int64)
-        return hashes[place] >> np.uint64(64 - self.bits), place + offset, np.arange(len(place)) + offset
+        return hashes[place] >> np.uint64(64 - self.bits), place + offset
 
 
 def _gram_hashes(b: np.ndarray, gram: int) -> np.ndarray:
@@ -146,11 +146,12 @@ def _gram_hashes(b: np.ndarray, gram: int) -> np.ndarray:
             n = len(b) - 2 * size + 1
             part = part[:n] * np.uint64(power) + part[size:size + n]
             power, size = power * power & NO_ID, 2 * size
-    return mixed(done)
+    done = done * np.uint64(0xBF58476D1CE4E5B9)
+    return done ^ (done >> np.uint64(31))
 
 
-def _first_round(t: Texts, slices: int) -> list[bytes]:
-    """What a chunk asks each slice: its anchors and its texts."""
+def _first_round(t: Texts, slices: int) -> dict[int, bytes]:
+    """What a chunk asks the slices: its anchors and its texts."""
     key, _, _, _, doc = t.anchors()
     order = np.argsort(key, kind="stable")  # documents ascend within a key
     keys, at, found = np.unique(key[order], return_index=True, return_counts=True)
@@ -160,12 +161,11 @@ def _first_round(t: Texts, slices: int) -> list[bytes]:
     low = t.digest[:, 0] if len(t.raw) else np.zeros(0, np.uint64)
     by = np.argsort(low, kind="stable")
     own = slice_bounds(low[by], 64, slices)
-    out = []
-    for s in range(slices):
-        a, b, c, d = cut[s], cut[s + 1], own[s], own[s + 1]
-        some = by[c:d]
-        out.append(bundle([pack_sorted(keys[a:b]), pack(several[a:b]), pack(found[a:b]),
-                           pack_sorted(low[some]), pack(t.digest[some, 1]), pack(t.ids[some])]))
+    out = {}
+    for s in np.flatnonzero(np.diff(cut) + np.diff(own)).tolist():
+        a, b, some = cut[s], cut[s + 1], by[own[s]:own[s + 1]]
+        out[s] = bundle([pack_sorted(keys[a:b]), pack(several[a:b]), pack(found[a:b]),
+                         pack_sorted(low[some]), pack(t.digest[some, 1]), pack(t.ids[some])])
     return out
 
 
@@ -219,13 +219,27 @@ class Passages:
         self.cut = slice_bounds(self.route, 64, slices)
         self.starts = np.array([len(p) - need + 1 for p in self.passages], np.int64)
 
-    def asks(self) -> list[bytes]:
-        out = []
-        for a, b in zip(self.cut[:-1], self.cut[1:]):
+    @classmethod
+    def from_memo(cls, body: bytes) -> Passages:
+        self = cls.__new__(cls)
+        start, count, doc, number, order, starts, copy = unbundle(body)
+        self.start = unpack_sorted(start).astype(np.int64)
+        self.count, self.doc, self.number, self.order, self.starts = (unpack(x).astype(np.int64) for x in (count, doc, number, order, starts))
+        self.copy = np.frombuffer(copy, bool)
+        return self
+
+    def memo(self) -> bytes:
+        """What is left to know when the answers come."""
+        return bundle([pack_sorted(self.start), *(pack(x) for x in (self.count, self.doc, self.number, self.order, self.starts)), self.copy.tobytes()])
+
+    def asks(self) -> dict[int, bytes]:
+        out = {}
+        for s in np.flatnonzero(np.diff(self.cut)).tolist():
+            a, b = self.cut[s], self.cut[s + 1]
             some = self.order[a:b]
             found = [self.passages[i] for i in some]
-            out.append(bundle([zlib.compress(b"".join(found), 1), pack(np.array([len(p) for p in found], np.int64)),
-                               pack(self.least[some]), pack(self.route[a:b] >> np.uint64(24))]))
+            out[s] = bundle([zlib.compress(b"".join(found), 1), pack(np.array([len(p) for p in found], np.int64)),
+                             pack(self.least[some]), pack(self.route[a:b] >> np.uint64(24))])
         return out
 
 
@@ -253,7 +267,7 @@ def _second_answers(bodies: list[bytes], need: int, limit: int) -> list[bytes]:
         limit_at = np.searchsorted(bytes_to, (bytes_to[at - 1] if at else 0) + limit, "right")
         stop = ends[max(np.searchsorted(ends, limit_at, "right") - 1, np.searchsorted(ends, at, "right"))]
         some = order[at:stop]
-        _sort_passages(text, some, begin, begins, size, least, answer, need)
+        _sort_passages(text, some, way, begin, begins, size, least, answer, need)
         at = int(stop)
     out, done = [], 0
     total = np.cumsum(np.maximum(0, size - need + 1))
@@ -268,26 +282,31 @@ def _second_answers(bodies: list[bytes], need: int, limit: int) -> list[bytes]:
     return out
 
 
-def _sort_passages(text: bytes, some: np.ndarray, begin, begins, size, least, answer, need: int) -> None:
+def _sort_passages(text: bytes, some: np.ndarray, way, begin, begins, size, least, answer, need: int) -> None:
+    """Answers for the passages ``some``. Copies count once; a passage that no other one shares a
+    route with has nothing to be compared with, the others are sorted together."""
     number: dict[bytes, int] = {}
     which = np.fromiter((number.setdefault(text[a:a + n], len(number)) for a, n in
                          zip(begin[some].tolist(), size[some].tolist())), np.int64, len(some))
     found = list(number)
     smallest = np.full(len(found), NO_ID, np.uint64)
     np.minimum.at(smallest, which, least[some])
-    # bytes become 1 to 256; a zero ends each passage
-    flat = np.frombuffer(b"".join(found), np.uint8).astype(np.int64) + 1
-    n = np.array([len(p) for p in found], np.int64)
-    string = np.zeros(len(flat) + len(found), np.int64)
-    string[np.arange(len(flat)) + np.repeat(np.arange(len(found)), n)] = flat
-    head = np.cumsum(n + 1) - n - 1
-    count = np.maximum(0, n - need + 1)
+    first = np.unique(which, return_index=True)[1]
+    _, at, same_way = np.unique(way[some[first]], return_inverse=True, return_counts=True)
+    met = np.flatnonzero(same_way[at] > 1)
+    count = np.maximum(0, np.array([len(p) for p in found], np.int64) - need + 1)
     offset = np.cumsum(count) - count
-    nth = np.arange(count.sum()) - np.repeat(offset, count)
-    classes = match_classes(string, need, np.repeat(head, count) + nth)
+    result = np.repeat(smallest, count)
+    # bytes become 1 to 256; a zero ends each passage
+    flat = np.frombuffer(b"".join([found[i] for i in met.tolist()]), np.uint8).astype(np.int64) + 1
+    n = count[met] + need - 1
+    string = np.zeros(len(flat) + len(met), np.int64)
+    string[np.arange(len(flat)) + np.repeat(np.arange(len(met)), n)] = flat
+    nth = np.arange(count[met].sum()) - np.repeat(np.cumsum(count[met]) - count[met], count[met])
+    classes = match_classes(string, need, np.repeat(np.cumsum(n + 1) - n - 1, count[met]) + nth)
     by_class = np.full(int(classes.max(initial=-1)) + 1, NO_ID, np.uint64)
-    np.minimum.at(by_class, classes, np.repeat(smallest, count))
-    result = by_class[classes]
+    np.minimum.at(by_class, classes, np.repeat(smallest[met], count[met]))
+    result[np.repeat(offset[met], count[met]) + nth] = by_class[classes]
     each = count[which]  # every passage of the slice takes the answers of its equal
     nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
     answer[np.repeat(begins[some], each) + nth] = result[np.repeat(offset[which], each) + nth]
@@ -333,7 +352,8 @@ def _exchange(docs: DataFrame, finish, schema: str, need: int, gram: int, hot: i
         return key[0].as_py()
 
     def first(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        return _rows(range(slices), [number(key)] * slices, False, _first_round(Texts(table, bits, need, gram), slices))
+        asks = _first_round(Texts(table, bits, need, gram), slices)
+        return _rows(asks, [number(key)] * len(asks), False, asks.values())
 
     def answer_first(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         return _rows(table.column("slice").to_pylist(), table.column("chunk").to_pylist(), False,
@@ -345,17 +365,18 @@ def _exchange(docs: DataFrame, finish, schema: str, need: int, gram: int, hot: i
 
     def passages(t: Texts, bodies: list[bytes]) -> Passages:
         answers = [unbundle(b) for b in bodies]
-        state = np.concatenate([unpack(a[0]) for a in answers]).astype(np.int64)
-        return Passages(t, state, np.concatenate([unpack(a[1]) for a in answers]), slices)
+        state, least = (np.concatenate([unpack(a[i]) for a in answers]) for i in (0, 1))
+        return Passages(t, state.astype(np.int64), least, slices)
 
     def second(key: tuple[pa.Scalar, ...], answers: pa.Table, table: pa.Table) -> pa.Table:
-        bodies = told(answers)
-        asks = passages(Texts(table, bits, need, gram), bodies).asks()
-        memo = _rows([number(key) % slices], [number(key)], True, [bundle(bodies)])
-        return pa.concat_tables([_rows(range(slices), [number(key)] * slices, False, asks), memo])
+        p = passages(Texts(table, bits, need, gram), told(answers))
+        asks, memo = p.asks(), _rows([number(key) % slices], [number(key)], True, [p.memo()])
+        return pa.concat_tables([_rows(asks, [number(key)] * len(asks), False, asks.values()), memo])
 
     def answer_second(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         asks = table.filter(pa.compute.invert(table.column("memo")))
+        if not asks.num_rows:
+            return table.cast(_ARROW)
         out = _rows(asks.column("slice").to_pylist(), asks.column("chunk").to_pylist(), False,
                     _second_answers(asks.column("body").to_pylist(), need, limit))
         return pa.concat_tables([out, table.filter(table.column("memo")).cast(_ARROW)])
@@ -363,19 +384,25 @@ def _exchange(docs: DataFrame, finish, schema: str, need: int, gram: int, hot: i
     def last(key: tuple[pa.Scalar, ...], answers: pa.Table, table: pa.Table) -> pa.Table:
         memo = answers.filter(answers.column("memo")).column("body")[0].as_py()
         t = Texts(table, bits, need, gram)
-        p = passages(t, unbundle(memo))
+        p = Passages.from_memo(memo)
         values = []
         for body in told(answers.filter(pa.compute.invert(answers.column("memo")))):
             step = unpack(body)
             step = (step >> np.uint64(1)).view(np.int64) ^ -(step & np.uint64(1)).view(np.int64)
             values.append(np.cumsum(step).view(np.uint64))
-        return finish(table, t, _removed(t, p, np.concatenate(values)))
+        return finish(table, t, _removed(t, p, np.concatenate(values) if values else np.zeros(0, np.uint64)))
+
+    # few bytes stand for much work here: tasks are counted by what they do, not merged by size
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
 
-    asked = dealt.groupBy("chunk").applyInArrow(first, ROWS)
-    told_first = asked.groupBy("slice").applyInArrow(answer_first, ROWS)
-    sent = told_first.groupBy("chunk").cogroup(dealt.groupBy("chunk")).applyInArrow(second, ROWS)
-    told_second = sent.groupBy("slice").applyInArrow(answer_second, ROWS)
-    return told_second.groupBy("chunk").cogroup(dealt.groupBy("chunk")).applyInArrow(last, schema)
+    def by(df: DataFrame, key: str, groups: int):
+        return df.repartition(min(groups, most), key).groupBy(key)
+
+    texts = by(dealt, "chunk", chunks)
+    told_first = by(texts.applyInArrow(first, ROWS), "slice", slices).applyInArrow(answer_first, ROWS)
+    sent = by(told_first, "chunk", chunks).cogroup(texts).applyInArrow(second, ROWS)
+    told_second = by(sent, "slice", slices).applyInArrow(answer_second, ROWS)
+    return by(told_second, "chunk", chunks).cogroup(texts).applyInArrow(last, schema)
 
 
 def report(docs: DataFrame, need: int = NEED, gram: int = GRAM, hot: int = HOT, chunk: int = CHUNK,
@@ -402,22 +429,27 @@ def strip(docs: DataFrame, need: int = NEED, gram: int = GRAM, hot: int = HOT, c
           slice_bytes: int = SLICE, limit: int = SORTED) -> DataFrame:
     """``docs`` with the repeated passages cut from ``text``. A character at the edge of a passage
     stays whole if any of its bytes is kept; ``n_chars``, if there, is counted anew."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    names = docs.columns
+    flat = docs.toDF(*[f"c{i}" for i in range(len(names))])  # whatever its columns are called
+    at = {c: F.col(f"c{names.index(c)}") for c in ("doc_id", "text")}
+    others = [c for c in flat.columns if c != f"c{names.index('text')}"]
+    source = flat.select(at["doc_id"].cast("long").alias("doc_id"), at["text"].alias("text"), F.struct(*others).alias("row"))
 
     def finish(table: pa.Table, t: Texts, gone: np.ndarray) -> pa.Table:
         out: list[str | None] = [None] * len(t.rows)
-        for i, raw, at, n in zip(t.rows, t.raw, t.first, t.sizes):
-            mask = gone[at:at + n]
-            kept = np.frombuffer(raw, np.uint8)[~_whole_characters(raw, mask)].tobytes() if mask.any() else raw
-            out[i] = kept.decode()
-        return pa.table({"row": table.column("row"), "kept": pa.array(out, pa.string())})
-
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), row)
-    schema = source.select("row").withColumn("kept", F.lit("").cast("string")).schema
+        changed = np.zeros(len(t.rows), bool)
+        empty = table.column("text").is_null().to_pylist()
+        for i, raw, first, n in zip(t.rows, t.raw, t.first, t.sizes):
+            mask = gone[first:first + n]
+            changed[i] = mask.any()
+            kept = np.frombuffer(raw, np.uint8)[~_whole_characters(raw, mask)].tobytes() if changed[i] else raw
+            out[i] = None if empty[i] else kept.decode()
+        return pa.table({"row": table.column("row"), "kept": pa.array(out, pa.string()), "changed": pa.array(changed)})
+
+    schema = T.StructType([source.schema["row"], T.StructField("kept", T.StringType()), T.StructField("changed", T.BooleanType())])
     out = _exchange(source, finish, schema, need, gram, hot, chunk, slice_bytes, limit)
-    text = F.when(F.col("row.text").isNull(), F.lit(None)).otherwise(F.col("kept"))
-    new = F.col("row").withField("text", text)
-    if "n_chars" in docs.columns:
-        new = new.withField("n_chars", F.when(F.col("kept") == F.coalesce("row.text", F.lit("")), F.col("row.n_chars"))
-                            .otherwise(F.length("kept").cast(docs.schema["n_chars"].dataType)))
-    return out.select(new.alias("row")).select("row.*")
+    new = {"text": F.col("kept")}
+    if "n_chars" in names:
+        old = F.col(f"row.c{names.index('n_chars')}")
+        new["n_chars"] = F.when(F.col("changed"), F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(old)
+    return out.select(*[new.get(c, F.col(f"row.c{i}")).alias(c) for i, c in enumerate(names)])
