@@ -27,7 +27,7 @@ from stationlake.llm.recurrent import Adam, Network, Vocabulary, restrict, sigmo
 
 WINDOW, STRIDE, THRESHOLD = 32, 16, 0.5
 #: Documents of each label to learn from, times that they are read, windows read at once, characters of a frame.
-ROWS, EPOCHS, BLOCK, FRAME = 1500, 16, 4096, 4 << 20
+ROWS, EPOCHS, BLOCK, FRAME = 1500, 16, 2048, 2 << 20
 
 
 def words_of(text: str | None) -> list[bytes]:
