@@ -32,7 +32,7 @@ CAPACITY, END_ID, GROUP = 4096, 1, 16384
 #: Least filled bins of a group that the search takes documents out of.
 SOURCES = 64
 #: Words whose ids a task remembers; beyond that it starts to remember anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 #: Ids travel through pandas as text, so that nulls and large ids stay exact.
 PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
