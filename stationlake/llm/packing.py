@@ -87,7 +87,8 @@ class WordIds(dict):
                 continue
             word = raw.decode()
             split = _LETTERS_MARKS.fullmatch(word)
-            if split and (raw.isascii() or (max(split[1], default="a") <= _LATIN_END and _DOTTED not in word)):
+            # the class of letters also matches numerals such as U+00B2, which the tokenizer splits off
+            if split and (raw.isascii() or ((split[1] or "a").isalpha() and max(split[1], default="a") <= _LATIN_END and _DOTTED not in word)):
                 letters, marks = split[1].lower(), split[2]
                 self[raw] = (self._part(letters, False) if letters else b"") + (self._part(marks, True) if marks else b"")
             else:

@@ -52,6 +52,13 @@ def test_packing(which, awkward, small_docs, small_rows):
     assert len(bins) <= -(-sum(r["length"] for r in packed) // 512) + 2 * (len(packed) // 100 + 1)
 
 
+def test_packing_numerals_among_letters(spark):
+    latin = [w for c in map(chr, range(0x80, 0x250)) for w in (c, "a" + c, c + "b", "Km" + c + ".", c + c + "é")]
+    rows = [(i, w) for i, w in enumerate(["area of 5 km²", "m³", "x¹", "a²b", "a½ cup", " ".join(latin), *latin])]
+    packed = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH, capacity=512, group=5000).collect()
+    assert by_id([tuple(r)[:5] for r in packed]) == _pieces(rows, 512)
+
+
 def test_packing_nothing(nothing):
     assert packing.pack(nothing, PATH).count() == 0
 
