@@ -6,8 +6,8 @@ fingerprint is 1 if more than half of the hashes have it. Documents whose finger
 differ in at most ``radius`` bits are linked; a component is what links connect.
 
 Null text counts as empty; texts without words have fingerprint zero and link like any
-other. Equal fingerprints are one node, so copies never become pairs. Repeated rows each
-keep their row. An empty table gives an empty result; other columns are ignored.
+other, and so do rows without an id. Equal fingerprints are one node, named by the fingerprint,
+so copies never become pairs. Repeated rows each keep their row. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -63,14 +63,15 @@ def hex_of(fp: str) -> F.Column:
 
 
 def classes(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, text_hash, fp, component_id and component_size of every row."""
+    """doc_id, text_hash, fp, root, component_id and component_size of every row. ``root`` is the
+    component's smallest fingerprint; component_id, its smallest id, is null where no row has one."""
     fps = staged(fingerprints(docs, shingle), "simhash")
-    nodes = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")).where("id is not null"), "nodes")
-    joined = components(near_pairs(nodes, radius))
-    roots = nodes.join(joined, "id", "left").select("fp", "n", F.coalesce("component", "id").alias("component_id"))
-    sizes = roots.groupBy("component_id").agg(F.sum("n").alias("component_size"))
-    named = roots.join(sizes, "component_id").select("fp", "component_id", "component_size")
-    return fps.join(named, "fp", "left").select("doc_id", "text_hash", "fp", "component_id", "component_size")
+    nodes = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")), "nodes")
+    joined = components(near_pairs(nodes.select("fp", F.col("fp").alias("id")), radius)).withColumnRenamed("id", "fp")
+    roots = nodes.join(joined, "fp", "left").select("fp", "id", "n", F.coalesce("component", "fp").alias("root"))
+    whole = roots.groupBy("root").agg(F.min("id").alias("component_id"), F.sum("n").alias("component_size"))
+    named = roots.join(whole, "root").select("fp", "root", "component_id", "component_size")
+    return fps.join(named, "fp", "left").select("doc_id", "text_hash", "fp", "root", "component_id", "component_size")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -80,11 +81,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of each component, that of its smallest id, with all its columns. Rows without an
-    id are grouped with what they link to, or else by their fingerprint."""
+    id link like any other and come last in their component."""
     found = staged(classes(docs, shingle, radius), "components")
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    chosen = found.groupBy(group.alias("class")).agg(first).select(F.col("first.doc_id").alias("chosen_id"), F.col("first.text_hash").alias("chosen_hash"))
+    chosen = found.groupBy("root").agg(first).select(F.col("first.doc_id").alias("chosen_id"), F.col("first.text_hash").alias("chosen_hash"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("own_hash"), row)
     same = F.col("own_id").eqNullSafe(F.col("chosen_id")) & (F.col("own_hash") == F.col("chosen_hash"))

@@ -87,6 +87,38 @@ def test_one_of_each_group_stays(awkward):
     assert sorted(i for i in ids if i is not None) == sorted({c for d, (_, c) in want.items() if c < 1 << 70})
 
 
+def _chain():
+    """Texts a, b and c, of which a and c link to b only."""
+    rng = random.Random(21)
+    while True:
+        base = [f"w{rng.randint(0, 999)}" for _ in range(300)]
+        made = []
+        for _ in range(40):
+            w = list(base)
+            w[rng.randrange(len(w))] = f"new{rng.randint(0, 999)}"
+            made.append(" ".join(w))
+        fp = {t: brute.simhash(t) for t in made}
+        near = lambda s, t: 0 < (fp[s] ^ fp[t]).bit_count() <= 3
+        for b in made:
+            around = [t for t in made if near(b, t)]
+            for a in around:
+                for c in around:
+                    if (fp[a] ^ fp[c]).bit_count() > 3:
+                        return a, b, c
+
+
+def test_rows_without_an_id_link_like_any_other(spark):
+    a, b, c = _chain()
+    rows = [(9, a, 1), (None, b, 2), (4, c, 3), (7, "quite another text", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    got = {r[0]: (r[1], r[2]) for r in simhash_dedup.near_duplicates(docs).select("doc_id", "component_id", "component_size").collect()}
+    assert got == {9: (4, 3), None: (4, 3), 4: (4, 3), 7: (7, 1)}
+    assert sorted(r["row"] for r in simhash_dedup.keep_first(docs).collect()) == [3, 4]
+    docs = spark.createDataFrame([(None, a, 1), (None, b, 2), (None, c, 3)], "doc_id long, text string, row int")
+    got = [tuple(r) for r in simhash_dedup.near_duplicates(docs).select("component_id", "component_size").collect()]
+    assert got == [(None, 3)] * 3 and simhash_dedup.keep_first(docs).count() == 1
+
+
 def test_fingerprints_against_brute_force(small_docs, small_rows):
     rows = sorted(small_rows, key=lambda r: -r[0])
     got = {r["doc_id"]: r for r in fingerprints.edited_pairs(small_docs, ranges=7).collect()}
