@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.llm.common import staged
+
 FOLDS, HELD_FOLD = 5, 0
 #: Bytes of the longest text to learn from; longer ones are only scored.
 LONGEST = 100_000
@@ -17,14 +19,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> pd.DataFrame:
-    """Texts with their ``label`` (0 or 1): of each label at most ``rows`` documents that are not
-    held out and not above ``LONGEST``, those with the smallest hashes of their ids. The only thing that comes to the
+    """Texts with their ``label`` (0 or 1): of each label ``rows`` documents that are not
+    held out and not above ``LONGEST``, or all where there are fewer: those with the smallest hashes of their ids. The only thing that comes to the
     driver; ``rows`` bounds it. Labels of other values and ids without a document are left out;
     of several labels of a document the smallest counts."""
     marked = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
     marked = marked.where(~held_out(F.col("doc_id"))).withColumn("draw", F.xxhash64("doc_id"))
+    short = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text")) \
+        .where(F.octet_length(F.coalesce("text", F.lit(""))) <= LONGEST)
+    marked = staged(marked.join(short.select("doc_id"), "doc_id", "left_semi"), "learnable")  # before the draw, so that none is lost
     drawn = [marked.where(F.col("label") == v).orderBy("draw", "doc_id").limit(rows) for v in (0, 1)]
     chosen = drawn[0].unionByName(drawn[1])  # at most 2 * rows short rows
-    texts = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text")) \
-        .where(F.octet_length(F.coalesce("text", F.lit(""))) <= LONGEST).join(F.broadcast(chosen), "doc_id")
+    texts = short.join(F.broadcast(chosen), "doc_id")
     return texts.select("draw", "doc_id", "text", "label").toPandas().sort_values(["draw", "doc_id", "text"], ignore_index=True)

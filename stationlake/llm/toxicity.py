@@ -7,7 +7,7 @@ documents: a window of a document stands for it, drawn at random at first, then
 that the network itself finds most toxic.
 
 Null, empty and blank texts score 0. Without labels of both kinds every other score is the
-sample's share of label 1. Repeated rows each get their score; other columns are ignored by
+sample's share of label 1, and :func:`reject` keeps every row. Repeated rows each get their score; other columns are ignored by
 :func:`score` and kept by :func:`reject`; an empty table gives an empty result.
 """
 
@@ -121,7 +121,10 @@ def score(docs: DataFrame, model: Network | float) -> DataFrame:
 
 
 def reject(docs: DataFrame, model: Network | float) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, with all their columns."""
+    """The rows of ``docs`` that score below the threshold, with all their columns; all rows where
+    the sample had one label only, which tells no document from another."""
+    if isinstance(model, float):
+        return docs
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,10 +136,7 @@ def reject(docs: DataFrame, model: Network | float) -> DataFrame:
                     size += len(texts[stop] or "")
                     stop += 1
                 some = texts[at:stop]
-                if isinstance(model, float):
-                    scores = np.array([model if words_of(t) else 0.0 for t in some])
-                else:
-                    scores = document_scores(model, some)
+                scores = document_scores(model, some)
                 yield batch.slice(at, stop - at).filter(pa.array(scores < THRESHOLD))
                 at = stop
 

@@ -240,3 +240,13 @@ def test_labels_of_held_out_rows_are_not_learnt(spark):
     assert all(zlib.crc32(str(d).encode()) % 5 for d in drawn["doc_id"])
     turned = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert sample(docs, turned, "toxic", 60).equals(sample(docs, labels, "toxic", 60))
+
+
+def test_long_and_absent_documents_cost_no_sample_row(spark):
+    long = F.expr("id % 4 < 2")
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.when(long, F.repeat(F.lit("x "), 50_001)).otherwise("short text").alias("text"))
+    labels = spark.range(800).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    drawn = sample(docs, labels, "toxic", 30)
+    assert drawn["label"].value_counts().to_dict() == {0: 30, 1: 30} and set(drawn["text"]) == {"short text"}
+    one = toxicity.train(docs, labels.where("toxic = 1"))
+    assert one == 1.0 and toxicity.reject(docs, one).count() == 400
