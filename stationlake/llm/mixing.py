@@ -105,7 +105,8 @@ def plan(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: int = SEE
 
 def apply(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
     """The mixed corpus in the columns of ``docs``: ``whole`` copies of a row, and one of its
-    first ``part`` words where that is above 0 (the whole text where it is all of them)."""
+    first ``part`` words, with the white space before and between them, where that is above 0 (the
+    whole text where it is all of them)."""
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])  # whatever its columns are called
     at = {c: F.col(f"c{names.index(c)}") for c in ("doc_id", "source", "text")}
@@ -114,7 +115,8 @@ def apply(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: int = SE
     copies = F.array_repeat(F.col("size"), F.col("whole").cast("int"))
     taken = F.when(F.col("part") > 0, F.concat(copies, F.array("part"))).otherwise(copies)
     rows = mixed.select(*flat.columns, "size", F.explode(taken).alias("words"))
-    first = F.array_join(F.slice(F.regexp_extract_all(at["text"], F.lit(WORD_PATTERN), F.lit(0)), 1, F.col("words").cast("int")), " ")
+    spaced = F.regexp_extract_all(at["text"], F.lit(WORD_PATTERN.replace("^", "").replace("+", "*") + WORD_PATTERN), F.lit(0))  # words with what precedes them
+    first = F.array_join(F.slice(spaced, 1, F.col("words").cast("int")), "")
     cut = F.col("words") < F.col("size")
     new = {"text": F.when(cut, first).otherwise(at["text"])}
     if "n_chars" in names:

@@ -88,6 +88,14 @@ def test_mixed_texts_hold_the_words_taken(small_docs):
     assert {d: n for d, n in taken.items() if n} == {d: n for d, n in found.items() if n}
 
 
+def test_a_text_taken_in_part_keeps_its_white_space(spark):
+    rows = [(i, f"\n one  two\t{i}\n\nthree \x0b four five\n", "a" if i % 3 else "b") for i in range(40)]
+    text, whole = {r[0]: r[1] for r in rows}, len(rows[0][1].split())
+    mixed = mixing.apply(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(2, 1)).collect()
+    cut = [r for r in mixed if r["text"] != text[r["doc_id"]]]
+    assert cut and all(text[r["doc_id"]].startswith(r["text"]) and 0 < len(r["text"].split()) < whole for r in cut)
+
+
 def test_mixing_awkward(awkward, nothing):
     assert mixing.apply(awkward).schema.names == awkward.schema.names and mixing.apply(awkward).count() > 0
     assert mixing.plan(nothing).count() == 0 and mixing.apply(nothing).count() == 0
