@@ -20,10 +20,3 @@ def spark():
 def workdir():
     # a fresh scratch folder per test (never reused, never cleared)
     return tempfile.mkdtemp(prefix="stationlake-test-")
-
-
-def write_text(path, text, newline="\n", encoding="utf-8"):
-    data = text.replace("\n", newline).encode(encoding)
-    with open(path, "wb") as f:
-        f.write(data)
-    return path

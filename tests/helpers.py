@@ -13,3 +13,10 @@ def lines_df(spark, files: dict[str, str]) -> DataFrame:
         for i, v in enumerate(parts, start=1):
             rows.append((f"/inbox/{name}", name, i, v))
     return spark.createDataFrame(rows, LINES_SCHEMA)
+
+
+def write_text(path, text, newline="\n", encoding="utf-8"):
+    data = text.replace("\n", newline).encode(encoding)
+    with open(path, "wb") as f:
+        f.write(data)
+    return path

@@ -6,7 +6,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from conftest import write_text
+from helpers import write_text
 from station_samples import small_file
 from stationlake.plans.ingest import ingest, table_paths
 from stationlake.streaming.stream_ingest import import_batch, run_stream_ingest
