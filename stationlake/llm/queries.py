@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stationlake.llm import (
-    fingerprints, language_model, mixing, packing, quality_classifier, quality_rules, simhash_dedup, suffix_dedup,
-    toxicity, url_filter,
+    decontaminate, fingerprints, language_model, mixing, packing, phrases, quality_classifier, quality_rules, simhash_dedup,
+    suffix_dedup, toxicity, url_filter, whitening,
 )
 from stationlake.llm.common import table
 
@@ -56,14 +56,29 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_best_fit_packing, op3_suffix_array_dedup, op4_quality_classifier, op5_document_fingerprints,
-        op6_toxicity, op7_url_filters, op8_lm_scoring, op9_source_mixing, op10_quality_rules)
+        op6_toxicity, op7_url_filters, op8_lm_scoring, op9_source_mixing, op10_quality_rules, op11_phrase_mining,
+        op12_embedding_whitening, op13_benchmark_decontamination)
 }
 
 ORACLES: dict[str, str] = {
     "op7_url_filters": url_filter.oracle_sql(),
     "op9_source_mixing": mixing.oracle_sql(),
     "op10_quality_rules": quality_rules.oracle_sql(),
+    "op11_phrase_mining": phrases.oracle_sql(),
+    "op13_benchmark_decontamination": decontaminate.oracle_sql(),
 }

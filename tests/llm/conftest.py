@@ -6,9 +6,6 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-SMALL = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def awkward(spark):
     import brute
@@ -23,7 +20,9 @@ def nothing(spark, awkward):
 
 @pytest.fixture(scope="session")
 def small_docs(spark):
-    return spark.read.parquet(f"{SMALL}/documents.parquet").cache()
+    import brute
+
+    return spark.read.parquet(f"{brute.SMALL}/documents.parquet").cache()
 
 
 @pytest.fixture(scope="session")

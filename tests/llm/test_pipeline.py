@@ -3,7 +3,6 @@
 import brute
 import corpus_pipeline
 import pytest
-from conftest import SMALL
 
 from stationlake.llm import mixing, toxicity
 from stationlake.llm.common import staged
@@ -12,9 +11,9 @@ from stationlake.llm.queries import QUERIES
 
 @pytest.fixture(scope="module")
 def outputs(spark):
-    docs = [spark.read.parquet(f"{SMALL}/documents.parquet")]
+    docs = [spark.read.parquet(f"{brute.SMALL}/documents.parquet")]
     for name, stage in corpus_pipeline.STAGES:
-        docs.append(staged(stage(spark, docs[-1], SMALL), name))
+        docs.append(staged(stage(spark, docs[-1], brute.SMALL), name))
     return docs
 
 
@@ -27,7 +26,7 @@ def test_columns(outputs):
 
 
 def test_toxic_documents_go(spark, outputs):
-    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    labels = spark.read.parquet(f"{brute.SMALL}/labels.parquet")
     model = toxicity.train(outputs[0], labels)
     texts = rows(outputs[0])
     scores = toxicity.document_scores(model, [r[1] for r in texts])
@@ -65,13 +64,13 @@ def test_packing_takes_every_token(outputs):
 
 
 def test_run_is_the_stages(spark, outputs):
-    got = corpus_pipeline.run(spark, SMALL)
+    got = corpus_pipeline.run(spark, brute.SMALL)
     assert sorted(rows(got.drop("sequence_id", "offset"))) == sorted(rows(outputs[5].drop("sequence_id", "offset")))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_return_a_row_for_each_input_row(spark, name):
     table = "pages" if name.startswith("op7") else "documents"
-    n = spark.read.parquet(f"{SMALL}/{table}.parquet").count()
-    out = QUERIES[name](spark, SMALL)
+    n = spark.read.parquet(f"{brute.SMALL}/{table}.parquet").count()
+    out = QUERIES[name](spark, brute.SMALL)
     assert out.count() >= n if name.startswith("op2") else out.count() == n

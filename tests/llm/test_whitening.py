@@ -1,0 +1,126 @@
+"""Whitening against fractions and numpy's eigenvectors."""
+
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from stationlake.llm import whitening
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def polynomial(m):
+    """Faddeev-LeVerrier over fractions, from the constant on."""
+    d = len(m)
+    c, b = [Fraction(1)], [[Fraction(0)] * d for _ in range(d)]
+    for k in range(1, d + 1):
+        b = [[sum(m[i][t] * b[t][j] for t in range(d)) + (c[-1] if i == j else 0) for j in range(d)] for i in range(d)]
+        c.append(-Fraction(sum(m[i][t] * b[t][i] for i in range(d) for t in range(d)), k))
+    return [int(x) for x in reversed(c)]
+
+
+def gram(seed, d, rank, top=1000):
+    a = np.random.default_rng(seed).integers(-top, top, (rank, d)).astype(object)
+    return (a.T @ a).tolist()
+
+
+@pytest.mark.parametrize("d, rank", [(1, 1), (2, 2), (5, 5), (9, 4), (12, 12)])
+def test_polynomial_is_exact(spark, d, rank):
+    m = gram(d, d, rank)
+    assert whitening.characteristic_polynomial(spark, m) == polynomial(m)
+
+
+def test_roots_are_isolated_and_counted():
+    # (x - 7)^3 (x - 5) (x - 5 - 2^-40) x^2, scaled to integers
+    poly = [1]
+    for root in (7, 7, 7, 5, Fraction(5) + Fraction(1, 1 << 40), 0, 0):
+        poly = [Fraction(x) for x in ([0] + poly)][:len(poly) + 1]
+        shifted = poly[1:] + [Fraction(0)]
+        poly = [poly[i] - root * shifted[i] for i in range(len(poly))]
+    scale = math.lcm(*(x.denominator for x in poly))
+    roots = whitening.largest_roots([int(x * scale) for x in poly], 8)
+    assert len(roots) == 5  # zeros are no positive roots
+    values = [Fraction(a, 1 << s) for a, s in roots]
+    for got, want in zip(values, [7, 7, 7, Fraction(5) + Fraction(1, 1 << 40), 5]):
+        assert abs(got - want) < Fraction(1, 1 << 200)
+
+
+def check(spark, rows, components=8):
+    got = whitening.whiten(spark.createDataFrame(rows, VECTORS), components)
+    out = {}
+    for r in got.collect():
+        out.setdefault(r.vec_id, {})[r.component] = r
+    fit = [(i, v) for i, v, *_ in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    x = [[math.floor(Fraction(float(np.float32(c))) * 1024) + 100_000 for c in v] for _, v in fit]
+    n, d = len(x), len(x[0])
+    sums = [sum(r[j] for r in x) for j in range(d)]
+    away = np.array([[float(Fraction(n * r[j] - sums[j], n)) for j in range(d)] for r in x])
+    values, axes = np.linalg.eigh(away.T @ away / n)
+    values, axes = values[::-1], axes[:, ::-1]
+    k = min(components, d)
+    assert len(got.collect()) == n * k
+    for i, (vec_id, _) in enumerate(fit):
+        want = sum((n * x[i][j] - sums[j]) ** 2 for j in range(d))
+        assert [out[vec_id][c].n for c in range(1, k + 1)] == [n] * k
+        assert {r.deviation for r in out[vec_id].values()} == {want if want < 1 << 63 else None}
+        assert {int(r.deviation_exact) for r in out[vec_id].values()} == {want}
+    z = np.array([[out[i][c].whitened for c in range(1, k + 1)] for i, _ in fit])
+    live = values[:k] > values[0] * 1e-12 if values[0] > 0 else np.zeros(k, bool)
+    assert (z[:, ~live] == 0).all()
+    want = away @ axes[:, :k][:, live] / np.sqrt(values[:k][live])
+    one = next(iter(out.values()))
+    assert np.allclose([one[c].explained for c in range(1, k + 1)], np.where(live, values[:k] / (values.sum() or 1), 0), rtol=1e-9)
+    assert all(r.identity_error < 1e-9 for v in out.values() for r in v.values())
+    return z[:, live], want
+
+
+def test_against_eigenvectors(spark):
+    rng = np.random.default_rng(3)
+    x = (rng.normal(size=(300, 12)) * np.linspace(1, 3, 12)).astype(np.float32)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    rows += [(300, None, 0), (301, [1.0] * 11 + [None], 0), (302, [1.0] * 11 + [math.nan], 0), (303, [math.inf] + [0.0] * 11, 0)]
+    z, want = check(spark, rows)
+    assert np.abs(z * np.sign((z * want).sum(axis=0)) - want).max() < 1e-9
+
+
+def test_few_rows_few_dimensions_and_equal_eigenvalues(spark):
+    rng = np.random.default_rng(4)
+    z, want = check(spark, [(i, rng.normal(size=12).tolist(), 0) for i in range(5)])  # rank 4
+    assert z.shape[1] == 4 and np.abs(z * np.sign((z * want).sum(axis=0)) - want).max() < 1e-9
+    z, _ = check(spark, [(i, [float(i % 3), 1.0, -float(i)], 0) for i in range(9)])  # 3 dimensions, one without variance
+    assert z.shape[1] == 2
+    square = [(0, [1.0, 1.0], 0), (1, [1.0, -1.0], 0), (2, [-1.0, 1.0], 0), (3, [-1.0, -1.0], 0)]
+    z, _ = check(spark, square)  # equal eigenvalues: any orthogonal axes
+    assert np.allclose(z.T @ z / 4, np.eye(2))
+    z, _ = check(spark, [(i, [0.5, 2.0], 0) for i in range(4)])  # equal vectors
+    assert z.shape[1] == 0
+
+
+def test_large_entries_are_exact(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(c) for c in rng.normal(size=3) * 10.0 ** rng.integers(-3, 7)], 0) for i in range(40)]
+    z, want = check(spark, rows)
+    assert np.abs(z * np.sign((z * want).sum(axis=0)) - want).max() < 1e-6
+
+
+def test_odd_tables(spark):
+    empty = spark.createDataFrame([], VECTORS)
+    assert whitening.whiten(empty).count() == 0
+    assert whitening.whiten(spark.createDataFrame([(1, [], 0), (2, None, 0)], VECTORS)).count() == 0
+    assert [tuple(r)[1:6] for r in whitening.whiten(spark.createDataFrame([(None, [0.5], 0)], VECTORS)).collect()] == [(1, 1, 0, 0.0, 0.0)]
+    # shorter vectors are filled up; equal and null ids count each; other columns are not read
+    rows = [(1, [1.0, 2.0], 0), (1, [1.0], 0), (None, [3.0, 0.0], 0), (None, [3.0, 0.0], 0)]
+    filled = [(i, v + [0.0] * (2 - len(v)), x) for i, v, x in rows]
+    clash = spark.createDataFrame(rows, VECTORS).selectExpr("*", "7 as n", "'x' as component", "1 as _id", "0 as whitened")
+    key = lambda r: tuple(map(str, r))
+    got = sorted((tuple(r) for r in whitening.whiten(clash).collect()), key=key)
+    assert got == sorted((tuple(r) for r in whitening.whiten(spark.createDataFrame(filled, VECTORS)).collect()), key=key) and len(got) == 8
+
+
+def test_parts_of_a_batch_do_not_matter(spark):
+    rng = np.random.default_rng(6)
+    rows = spark.createDataFrame([(i, rng.normal(size=6).tolist(), 0) for i in range(500)], VECTORS)
+    a, b = (whitening.fit(rows.repartition(p)) for p in (1, 7))
+    assert a.sums == b.sums and (a.axes == b.axes).all() and a.explained == b.explained
