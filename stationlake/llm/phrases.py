@@ -474,11 +474,10 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, share: int = SHARE
     low = F.col("s1") <= F.col("s2")
     long = three.select("lang", "phrase", "a", F.when(low, F.col("f1")).otherwise(F.col("f12")).alias("l"),
                         F.when(low, F.col("f23")).otherwise(F.col("f3")).alias("r"), F.least("s1", "s2").alias("score"))
-    from pyspark.sql import Window
-
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = short.unionByName(long).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    # numbered by ranges of the order, so that no language is ranked by one task
+    falling = short.unionByName(long).withColumns({"_score": -F.col("score"), "_a": -F.col("a")})
+    ranked = split_groups_sequence(falling, ["lang"], ["_score", "_a", "phrase"], "rank").where(F.col("rank") <= top)
+    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def oracle_sql(least: int = LEAST, top: int = TOP, share: int = SHARE) -> str:
