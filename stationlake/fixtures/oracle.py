@@ -188,7 +188,8 @@ def oracle_sql() -> dict[str, str]:
               SELECT csv_file, value FROM ({_preamble_lines()})
               UNION ALL SELECT csv_file, {_data_line()} AS value FROM li) GROUP BY csv_file""",
         "unreadable_files": """
-            SELECT 'f' || l_suppkey || '.csv.gz' AS file_name,
+            SELECT 'f' || l_suppkey || '.csv' ||
+                   ['.gz', '.bz2', '.deflate', '.lz4', '.snappy', '.zip', ''][1 + l_suppkey % 7] AS file_name,
                    CASE WHEN l_suppkey % 10 = 0 THEN 0 ELSE 1 END AS success,
                    CASE WHEN l_suppkey % 10 = 0 THEN 0 ELSE count(*) + 7 END AS n_lines,
                    CASE WHEN l_suppkey % 10 = 0 THEN 'message: unreadable file' ELSE 'message: ' END AS message
@@ -328,6 +329,12 @@ def oracle_sql() -> dict[str, str]:
             QUALIFY row_number() OVER (PARTITION BY product, station_name, station_id, serialnumber,
                                        starttime, version, item
                                        ORDER BY csv_file DESC, line_no DESC, pos DESC) = 1""",
+        "export_stored": f"""{_with(li, cells)}
+            SELECT {_MEAS_COLS} FROM cells WHERE station_name = '{q.EXPORT_STATION}'
+              AND starttime >= TIMESTAMP '{q.EXPORT_FROM}' AND starttime <= TIMESTAMP '{q.EXPORT_TO}'
+            QUALIFY row_number() OVER (PARTITION BY product, station_name, station_id, serialnumber,
+                                       starttime, version, item
+                                       ORDER BY csv_file DESC, line_no DESC, pos DESC) = 1""",
         "table_scan": "SELECT * FROM events",
         "export_station": _events_range(),
         "export_measurements": f"""{_with(li, cells)}
@@ -338,5 +345,10 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN contains(CAST(ts AS VARCHAR), '.') THEN '' ELSE '.0' END || ',' || user_id || ',' ||
                    event_type || ',' || CAST(value AS VARCHAR) || ',' || props || ']' AS line
             FROM ({_events_range()})""",
+        "export_text_sink": f"""
+            SELECT '[' || event_id || ',' || CAST(ts AS VARCHAR) ||
+                   CASE WHEN contains(CAST(ts AS VARCHAR), '.') THEN '' ELSE '.0' END || ',' || user_id || ',' ||
+                   event_type || ',' || CAST(value AS VARCHAR) || ',' || props || ']' AS line
+            FROM ({_events_range()})""",
         "preview_top": "SELECT * FROM events ORDER BY event_id LIMIT 10",
     }

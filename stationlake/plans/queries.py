@@ -12,15 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.fixtures.files import (CODECS, write_gzip_files, write_mixed_files, write_named_files,
+from stationlake.fixtures.files import (CODECS, write_mixed_files, write_named_files, write_packed_files,
                                         write_text_files, write_zip_files)
 from stationlake.fixtures.render import damaged, load_lineitem, render_lines
 from stationlake.functions.text import split_fields
 from stationlake.operators import tables as tb
-from stationlake.plans.export import archive_dir, export_station, preview, row_text
+from stationlake.plans.export import archive_dir, export_station, preview, row_text, write_text
 from stationlake.plans.ingest import ingest_lines, table_paths
 from stationlake.plans.pipeline import Parsed, import_log, import_summary, parse_lines
-from stationlake.schemas import (MEASUREMENT_COLUMNS, MEASUREMENT_KEY, MEASUREMENT_SCHEMA, RUN_META_KEY,
+from stationlake.schemas import (LINES_SCHEMA, MEASUREMENT_COLUMNS, MEASUREMENT_KEY, MEASUREMENT_SCHEMA, RUN_META_KEY,
                                  SPEC_KEY, Dialect)
 from stationlake.session import staging_dir
 from stationlake.sources.files import inbox_listing, read_inbox, read_lines
@@ -38,8 +38,18 @@ ARCHIVE_PHASE = "lx"
 ARCHIVE_DATATYPE = "pdca"
 
 
+#: What a session has rendered: (application, folder of the tables, bad) -> folder of the lines.
+_RENDERED: dict[tuple[str, str, bool], str] = {}
+
+
 def lines_of(spark: SparkSession, sf_dir: str, bad: bool = False) -> DataFrame:
-    return render_lines(load_lineitem(spark, sf_dir), bad=bad)
+    """The rendered files, written once in a session: every query starts from lines, as an import does."""
+    key = (spark.sparkContext.applicationId, sf_dir, bad)
+    if key not in _RENDERED:
+        path = staging_dir(spark, "rendered")
+        render_lines(load_lineitem(spark, sf_dir), bad=bad).write.parquet(path)
+        _RENDERED[key] = path
+    return spark.read.schema(LINES_SCHEMA).parquet(_RENDERED[key])
 
 
 def parsed_of(spark: SparkSession, sf_dir: str, bad: bool = False,
@@ -79,9 +89,9 @@ def q_line_number(spark, sf_dir):
 
 
 def q_unreadable_files(spark, sf_dir):
-    """Gzip files of which every tenth breaks off: what each one yields, and its outcome."""
+    """Files of every codec, archives and plain ones, of which every tenth is broken: what each yields, and its outcome."""
     root = staging_dir(spark, "broken-files")
-    write_gzip_files(lines_of(spark, sf_dir), root, broken_every=10)
+    write_packed_files(lines_of(spark, sf_dir), root, broken_every=10)
     lines, unreadable = read_inbox(spark, root)
     read = lines.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_lines"))
     log = import_log(inbox_listing(spark, root), unreadable, with_clock=False)
@@ -292,6 +302,16 @@ def q_table_sink(spark, sf_dir):
     return read_table(spark, table_paths(out)["measurement"], schema)
 
 
+def q_export_stored(spark, sf_dir):
+    """Import the rendered files, then export one station's months from the stored table."""
+    lines = lines_of(spark, sf_dir)
+    out = staging_dir(spark, "export-stored")
+    ingest_lines(spark, lines, lines.where(F.col("line_no") == 1).select("file_path", "csv_file"), out)
+    schema = partition_schema(MEASUREMENT_SCHEMA, partition_cols_for(MEASUREMENT_KEY))
+    stored = read_table(spark, table_paths(out)["measurement"], schema)
+    return export_station(stored, EXPORT_STATION, EXPORT_FROM, EXPORT_TO).select(*MEASUREMENT_COLUMNS)
+
+
 # --- table scan and export -------------------------------------------------------------------
 
 def q_table_scan(spark, sf_dir):
@@ -313,6 +333,13 @@ def q_export_text(spark, sf_dir):
                                    station_col="event_type", time_col="ts"))
 
 
+def q_export_text_sink(spark, sf_dir):
+    """The exported rows written as text files and read back."""
+    path = staging_dir(spark, "export-text")
+    write_text(q_export_station(spark, sf_dir), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 def q_preview_top(spark, sf_dir):
     return preview(_events(spark, sf_dir), 10, ["event_id"])
 
@@ -351,9 +378,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_zip": q_scan_zip,
     "scan_all": q_scan_all,
     "table_sink": q_table_sink,
+    "export_stored": q_export_stored,
     "table_scan": q_table_scan,
     "export_station": q_export_station,
     "export_measurements": q_export_measurements,
     "export_text": q_export_text,
+    "export_text_sink": q_export_text_sink,
     "preview_top": q_preview_top,
 }

@@ -1,3 +1,11 @@
+import bz2
+import gzip
+import io
+import struct
+import zipfile
+import zlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from stationlake.schemas import LINES_SCHEMA
@@ -20,3 +28,28 @@ def write_text(path, text, newline="\n", encoding="utf-8"):
     with open(path, "wb") as f:
         f.write(data)
     return path
+
+
+def framed(codec: str, data: bytes, block: int = 1000, chunk: int = 1000) -> bytes:
+    """``data`` in the framing of Hadoop's block codecs."""
+    pack, out = pa.Codec(codec), []
+    for lo in range(0, len(data), block):
+        part = data[lo:lo + block]
+        out.append(struct.pack(">I", len(part)))
+        for at in range(0, len(part), chunk):
+            body = pack.compress(part[at:at + chunk], asbytes=True)
+            out += [struct.pack(">I", len(body)), body]
+    return b"".join(out)
+
+
+def zipped(data: bytes, method: int = zipfile.ZIP_DEFLATED, more: bool = True) -> bytes:
+    mem = io.BytesIO()
+    with zipfile.ZipFile(mem, "w", method) as z:
+        z.writestr("first.csv", data)
+        if more:
+            z.writestr("second.csv", b"ignored\n")
+    return mem.getvalue()
+
+
+PACK = {".gz": gzip.compress, ".bz2": bz2.compress, ".deflate": zlib.compress, ".zip": zipped,
+        ".lz4": lambda b: framed("lz4_raw", b), ".snappy": lambda b: framed("snappy", b)}

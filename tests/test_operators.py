@@ -36,6 +36,58 @@ def test_export_bounds_inclusive_and_pushed(spark, workdir):
     assert preview(scan, 2, ["starttime"]).count() == 2
 
 
+def test_export_of_a_stored_table_reads_the_station_and_its_months(spark, workdir):
+    from stationlake.operators.tables import ORDER_COLS
+    from stationlake.schemas import MEASUREMENT_KEY, MEASUREMENT_SCHEMA
+    from stationlake.sources.tables import partition_cols_for, partition_schema, read_table, upsert_table
+
+    rows = spark.range(600).select(
+        F.concat(F.lit("S"), F.col("id")).alias("serialnumber"), F.when(F.col("id") % 4 == 0, "").when(F.col("id") % 4 == 1, None)
+        .otherwise(F.concat(F.lit("ST"), F.col("id") % 4)).alias("station_name"),
+        F.expr("if(id % 50 = 49, null, timestamp_ntz'2019-12-30 00:00:00' + make_interval(0, 0, 0, cast(id as int)))").alias("starttime"))
+    cells = rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit("x" if f.name in MEASUREMENT_KEY else None).cast(f.dataType).alias(f.name)
+                          for f in MEASUREMENT_SCHEMA.fields], F.lit(8).cast("long").alias("line_no"), F.lit(6).cast("long").alias("pos"))
+    assert set(ORDER_COLS) <= set(cells.columns)
+    path = f"{workdir}/measurement"
+    upsert_table(spark, path, cells, MEASUREMENT_KEY)
+    stored = read_table(spark, path, partition_schema(MEASUREMENT_SCHEMA, partition_cols_for(MEASUREMENT_KEY)))
+    everything = [r.asDict() for r in stored.collect()]
+    for station in ("ST2", "ST3", "", "ST9"):
+        for lo, hi in (("2020-01-31 00:00:00", "2020-03-01 00:00:00"), ("2019-12-31 00:00:00", "2019-12-31 00:00:00"), ("2021-01-01 00:00:00", "2020-01-01 00:00:00")):
+            out = export_station(stored, station, lo, hi)
+            want = [r for r in everything if r["station_name"] == station and r["starttime"] is not None and lo <= str(r["starttime"]) <= hi]
+            assert sorted(r.serialnumber for r in out.collect()) == sorted(r["serialnumber"] for r in want)
+            if want:
+                assert {f.split("/station_part=")[1].split("/")[0] for f in out.inputFiles()} >= {f"s-{station}"}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = export_station(stored, "ST2", "2020-01-31 00:00:00", "2020-03-01 00:00:00")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    found = plan[plan.index("PartitionFilters: ["):].split("PushedFilters")[0]
+    assert "station_part" in found and "s-ST2" in found and "start_month" in found and "2020-01" in found and "2020-03" in found
+    assert "EqualTo(station_name,ST2)" in plan
+
+
+def test_written_text(spark, workdir):
+    from stationlake.plans.export import write_text
+
+    df = spark.createDataFrame([("a", None, 1), ("b,c", "x", 2)], "s string, t string, n int")
+    write_text(df, f"{workdir}/text")
+    assert sorted(r.value for r in spark.read.text(f"{workdir}/text").collect()) == ["[a,null,1]", "[b,c,x,2]"]
+
+
+def test_now_as_text(spark):
+    import datetime as dt
+
+    from stationlake.plans.export import now_text
+
+    row = spark.range(1).select(now_text("yyyy-MM-dd HH-mm-ss").alias("a"), now_text().alias("b")).first()
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs(now - dt.datetime.strptime(row.a, "%Y-%m-%d %H-%M-%S")) < dt.timedelta(minutes=5)
+    assert row.b.startswith(now.strftime("%Y-")) and len(row.b) == 23
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as e
 
