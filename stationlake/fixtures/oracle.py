@@ -157,17 +157,22 @@ def _map_text(kind: str) -> str:
             f"strftime(seen_at, '%Y-%m-%d %H:%M:%S') END, ';' ORDER BY limit_value) AS {kind}")
 
 
-def _history_cte() -> str:
-    return """
+#: The overlapping imports of ``plans.queries``: the second one has all files but those with 3 modulo 4.
+_SECOND_IMPORT = "(l_suppkey % 4 <> 3)"
+
+
+def _history_cte(before: str = "0") -> str:
+    """``before``: what orders the writes ahead of file name and place."""
+    return f"""
 ev AS (
   SELECT product, station_id, station_name, version, item, 'upper' AS kind, upper AS limit_value,
-         starttime, csv_file, line_no, pos FROM cells
-  UNION ALL SELECT product, station_id, station_name, version, item, 'lower', lower, starttime, csv_file, line_no, pos FROM cells
-  UNION ALL SELECT product, station_id, station_name, version, item, 'unit', unit, starttime, csv_file, line_no, pos FROM cells
+         starttime, {before} AS before, csv_file, line_no, pos FROM cells
+  UNION ALL SELECT product, station_id, station_name, version, item, 'lower', lower, starttime, {before} AS before, csv_file, line_no, pos FROM cells
+  UNION ALL SELECT product, station_id, station_name, version, item, 'unit', unit, starttime, {before} AS before, csv_file, line_no, pos FROM cells
 ),
 hist AS (
   SELECT product, station_id, station_name, version, item, kind, limit_value,
-         arg_max(starttime, (csv_file, line_no, pos)) AS seen_at
+         arg_max(starttime, (before, csv_file, line_no, pos)) AS seen_at
   FROM ev GROUP BY ALL
 )"""
 
@@ -334,7 +339,21 @@ def oracle_sql() -> dict[str, str]:
               AND starttime >= TIMESTAMP '{q.EXPORT_FROM}' AND starttime <= TIMESTAMP '{q.EXPORT_TO}'
             QUALIFY row_number() OVER (PARTITION BY product, station_name, station_id, serialnumber,
                                        starttime, version, item
-                                       ORDER BY csv_file DESC, line_no DESC, pos DESC) = 1""",
+                                       ORDER BY {_SECOND_IMPORT} DESC, csv_file DESC, line_no DESC, pos DESC) = 1""",
+        "run_meta_sink": f"""{_with(li)}
+            SELECT {_META_COLS}, 's-' || station_name AS station_part, strftime(starttime, '%Y-%m') AS start_month FROM li
+            QUALIFY row_number() OVER (PARTITION BY product, station_name, station_id, serialnumber,
+                                       starttime, version
+                                       ORDER BY {_SECOND_IMPORT} DESC, csv_file DESC, line_no DESC) = 1""",
+        "spec_sink": f"""{_with(li, cells, _history_cte(_SECOND_IMPORT))},
+            maps AS (
+              SELECT {_SPEC_KEY}, {_map_text('upper')}, {_map_text('lower')}, {_map_text('unit')}
+              FROM hist GROUP BY ALL),
+            dims AS (
+              SELECT DISTINCT {_SPEC_KEY}, factorycode, floor, line_id, machine_id FROM cells)
+            SELECT m.product, m.station_id, d.factorycode, d.floor, d.line_id, d.machine_id,
+                   m.station_name, m.version, m.item, m.upper, m.lower, m.unit, 's-' || m.station_name AS station_part
+            FROM maps m JOIN dims d USING (product, station_id, station_name, version, item)""",
         "table_scan": "SELECT * FROM events",
         "export_station": _events_range(),
         "export_measurements": f"""{_with(li, cells)}

@@ -5,6 +5,10 @@ Upserts ("last write per key wins") are aggregations, not windows:
 a third of all rows is reduced inside every map task before the shuffle and
 never lands in one task whole.
 
+``latest_rows`` does the same for rows with a place in a file, whatever their width:
+only keys and places are aggregated (fixed-width buffers, a hash aggregate), and the rows
+are fetched by their number.
+
 Order of writes: ``(csv_file, line_no, pos)`` -- file name, then line, then
 column.  Inside a file that is the station's own row/column order; across files
 it is deterministic.
@@ -17,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.operators.joins import broadcast_limit
+from stationlake.session import staged
 from stationlake.schemas import (MEASUREMENT_COLUMNS, PLACEHOLDER_COLUMNS, RUN_META_COLUMNS,
                                  SPEC_DIMS, SPEC_KEY)
 
@@ -79,6 +85,49 @@ def upsert_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORD
     return out.select(*[c for c in df.columns if c in out.columns])
 
 
+def file_ranks(rows: DataFrame) -> DataFrame:
+    """``csv_file`` -> a number that grows with the name; one row per name, ranked by ranges of names."""
+    names = rows.select("csv_file").distinct().orderBy("csv_file")
+    return staged(names.select(F.col("csv_file").alias("_name"), F.monotonically_increasing_id().alias("_file")), "file-ranks")
+
+
+def same_key(keys: Sequence[str], prefix: str) -> Column:
+    """Equality of each key with the column of that name behind ``prefix``; nulls are equal, as in a grouping."""
+    out = F.lit(True)
+    for k in keys:
+        out &= F.col(k).eqNullSafe(F.col(prefix + k))
+    return out
+
+
+def latest_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, the last by (csv_file, line_no, pos); any one of rows that share a place.
+
+    The rows are written once with a number each. Of these only key, place and number go through
+    the aggregate; then the rows that lost are left out. No row is moved or sorted whole where few
+    rows lost (an import) or few won; else rows are dealt by number and met by a hash join.
+    """
+    spark = df.sparkSession
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    rows = staged(numbered, "upsert-rows")
+    ranks = file_ranks(rows)
+    # names of up to a few hundred bytes; their table is broadcast only where that fits
+    small = ranks.count() * 256 <= broadcast_limit(spark)
+    slim = rows.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "csv_file", "line_no", "pos", "_row")
+    slim = slim.join(F.broadcast(ranks) if small else ranks, F.col("csv_file").eqNullSafe(F.col("_name")))
+    place = (F.col("_file").cast("decimal(38,0)") * F.lit(1 << 40) + F.col("line_no")) * F.lit(1 << 31) + (F.col("pos") + 1)
+    won = staged(slim.groupBy(*[f"_k{i}" for i in range(len(keys))])
+                     .agg(F.max_by("_row", place.cast("decimal(38,0)")).alias("_row")).select("_row"), "upsert-won")
+    n, n_won = rows.count(), won.count()
+    lost = n - n_won
+    if lost == 0:
+        return rows.drop("_row")
+    if lost < n_won and lost * 16 <= broadcast_limit(spark):
+        gone = staged(rows.select("_row").join(won.hint("shuffle_hash"), "_row", "left_anti"), "upsert-lost")
+        return rows.join(F.broadcast(gone), "_row", "left_anti").drop("_row")
+    few = n_won * 16 <= broadcast_limit(spark)
+    return rows.join(F.broadcast(won) if few else won.hint("shuffle_hash"), "_row", "left_semi").drop("_row")
+
+
 def _line_pos() -> Column:
     """A cell's place inside its file as one number of fixed width, for any line and column."""
     return (F.col("line_no").cast("decimal(20,0)") * F.lit(1 << 31) + F.col("pos")).cast("decimal(38,0)")
@@ -116,6 +165,24 @@ def _stored_events(stored: DataFrame) -> DataFrame:
                          F.lit(-1).cast("decimal(38,0)").alias("_lp"))
 
 
+def merge_spec(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """SPEC rows of both: a limit value seen again takes its new time, all others stay.
+
+    Each key has one row on either side, so this is one join of rows and no regrouping; the stored
+    maps are not taken apart.
+    """
+    def merged(kind: str) -> Column:
+        empty = F.create_map().cast(new.schema[kind].dataType)
+        return F.map_zip_with(F.coalesce(F.col(kind), empty), F.coalesce(F.col(f"_n_{kind}"), empty),
+                              lambda _, before, now: F.coalesce(now, before)).alias(kind)
+
+    fresh = new.select(*[F.col(c).alias(f"_n_{c}") for c in stored.columns], F.lit(True).alias("_there"))
+    both = stored.join(fresh.hint("shuffle_hash"), same_key(SPEC_KEY, "_n_"), "full_outer")
+    # station-id parts are a function of the key, so either side's are the same; a key's columns may be null
+    cols = [F.when(F.col("_there"), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) for c in stored.columns if c not in LIMIT_KINDS]
+    return both.select(*cols, *[merged(k) for k in LIMIT_KINDS]).select(*stored.columns)
+
+
 def _history(cells: DataFrame, stored: DataFrame | None) -> DataFrame:
     """(key, kind, limit) -> start time of its last write.
 

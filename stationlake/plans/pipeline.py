@@ -47,17 +47,18 @@ def file_errors(header: DataFrame, rows: DataFrame) -> DataFrame:
                        F.col("_e.err_pos").alias("err_pos"), F.col("_e.err_msg").alias("err_msg")))
 
 
-#: What the outcome of a row needs besides its fields; arrays and unpivot positions stay out.
-_ROW_ARRAYS = ("f", "header", "upper_limits", "lower_limits", "units", "common_pos")
+#: What a row has from its file's header; it is not written with every row.
+_HEADER_ARRAYS = ("header", "upper_limits", "lower_limits", "units", "common_pos")
 
 
 def parse_lines(lines: DataFrame, dialect: Dialect = DEFAULT_DIALECT, on_error: str = "quarantine",
                 keep: bool = False, header_is_small: bool | None = None) -> Parsed:
     """Build every parse output from one ``LINES`` DataFrame.
 
-    With ``keep`` (imports, which use every output) headers and row outcomes are written once
-    to the shared folder, so the text is parsed once for them and once for the cells, whatever
-    number of tables follow; a query that wants one output leaves it off.
+    With ``keep`` (imports, which use every output) headers and rows are written once to the shared
+    folder, fields and outcome together, so the text is parsed once, whatever number of tables follow. The stop mode
+    needs a file's first error before it can keep a cell, so it writes its rows too; a query
+    that wants one output of the other mode leaves it off.
     """
     if on_error not in ("quarantine", "stop"):
         raise ValueError("on_error must be 'quarantine' or 'stop'")
@@ -67,10 +68,15 @@ def parse_lines(lines: DataFrame, dialect: Dialect = DEFAULT_DIALECT, on_error:
     if header_is_small is None:
         header_is_small = header_fits_broadcast(header)
     rows = data_rows(lines, header, dialect, header_is_small=header_is_small)
+    rows = rows.withColumn("raw", F.when(F.col("err_msg").isNotNull(), F.col("raw")))
+    if keep or on_error == "stop":
+        parsed = staged(rows.drop(*_HEADER_ARRAYS), "rows")
+        arrays = header.select("file_path", *_HEADER_ARRAYS)
+        rows = parsed.join(F.broadcast(arrays) if header_is_small else arrays, "file_path")
+        outcome = parsed.drop("f")
+    else:
+        outcome = rows.drop("f", *_HEADER_ARRAYS)
     cells = make_cells(rows)
-    outcome = rows.drop(*_ROW_ARRAYS).withColumn("raw", F.when(F.col("err_msg").isNotNull(), F.col("raw")))
-    if keep:
-        outcome = staged(outcome, "rows")
     errs = file_errors(header, outcome)
     rejects = (outcome.where(F.col("err_msg").isNotNull())
                       .select("file_path", "csv_file", "line_no", "raw", "err_pos", "err_msg"))

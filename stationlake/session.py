@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,9 +67,34 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: Folders named while a :func:`staging` block is open, a list for each open block.
+_OPEN: list[list[str]] = []
+
+
 def staging_dir(spark: SparkSession, purpose: str) -> str:
     """The name of a fresh folder below the shared one; Spark's writers create it."""
-    return f"{checkpoint_root(spark).rstrip('/')}/staging/{purpose}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/staging/{purpose}-{uuid.uuid4().hex[:12]}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Removes what is staged inside the block when it ends: what reads it must have been written by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        hadoop_path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _OPEN.pop():
+            path = hadoop_path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df``, a plain scan, reads."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:

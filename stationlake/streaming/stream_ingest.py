@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stationlake.plans.ingest import archive_files, ingest_lines, record_moves, table_paths
+from stationlake.plans.ingest import archive_files, import_files, record_moves, table_paths
 from stationlake.schemas import DEFAULT_DIALECT, Dialect
-from stationlake.session import checkpoint_root, staged
-from stationlake.sources.files import file_path, inbox_listing, read_inbox
+from stationlake.session import checkpoint_root, staging
+from stationlake.sources.files import file_path
 
 #: Files of a micro-batch: their paths are listed on the driver.
 FILES_PER_TRIGGER = 10_000
@@ -36,9 +36,8 @@ def stream_files(spark: SparkSession, inbox: str, max_files_per_trigger: int = F
 def import_batch(spark: SparkSession, paths: list[str], out_root: str, batch_id: str, inbox: str, *,
                  archive_to: str | None = None, dialect: Dialect = DEFAULT_DIALECT, on_error: str = "quarantine") -> DataFrame:
     """Imports the files of one micro-batch; returns its stored log rows."""
-    files = staged(inbox_listing(spark, paths), "listing")
-    lines, unreadable = read_inbox(spark, paths)
-    _, log = ingest_lines(spark, lines, files, out_root, dialect, on_error, batch_id=batch_id, unreadable=unreadable)
+    with staging(spark):
+        log = import_files(spark, paths, out_root, batch_id, dialect=dialect, on_error=on_error)
     if archive_to:
         moves = archive_files(log, inbox, archive_to, archive_to.rstrip("/") + "_FAILED")
         record_moves(spark, moves, f"{out_root.rstrip('/')}/archived", batch_id)
