@@ -89,7 +89,7 @@ def edited_pairs(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     cuts, tops = _ranges(ids, ranges or max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     rows = docs.select(docs["doc_id"].alias("doc_id"), text_or_empty(docs["text"]).alias("text")).withColumn("range", _range_of(cuts))
     # a range's largest id is dealt to its own range and, behind all others, to the one that it follows
-    rows = rows.join(F.broadcast(tops), F.col("doc_id") == F.col("top"), "left")
+    rows = rows.join(F.broadcast(tops), F.col("doc_id").eqNullSafe(F.col("top")), "left")  # null: no row has an id
     here = F.struct(F.col("range").alias("range"), F.lit(False).alias("guest"))
     guest = F.struct(F.col("follows").alias("range"), F.lit(True).alias("guest"))
     rows = rows.select("doc_id", "text", F.explode(F.when(F.col("follows").isNull(), F.array(here)).otherwise(F.array(here, guest))).alias("at"))

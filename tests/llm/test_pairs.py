@@ -200,3 +200,16 @@ def test_characters_stay_whole():
     gone = np.array([False, True, True, False, True, True, True, True, True])
     kept = np.frombuffer(raw, np.uint8)[~suffix_dedup._whole_characters(raw, gone)].tobytes().decode()
     assert kept == "aé"
+
+
+@pytest.mark.parametrize("texts", [["only one text here"], ["a b c d", "e f g h", "i j k l"], [None, "", "x y"], ["same text"] * 40])
+def test_fingerprints_where_all_ids_are_null(spark, texts):
+    got = fingerprints.report(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")).collect()
+    assert len(got) == len(texts) and all(r.near_next is not None and 0 <= r.near_next <= 1 and r.near_edited is not None for r in got)
+    n = len(texts)
+    whole = [t or "" for t in texts]
+    edits = {hashlib.sha256((t[:len(t) - len(t) // 2] + u[:len(t) // 2]).encode()).hexdigest(): 0 for t in whole for u in whole}
+    assert all(r.edited_sha256 in edits for r in got)
+    if n == 1:
+        t = whole[0]
+        assert got[0].edited_sha256 == hashlib.sha256((t[:len(t) - len(t) // 2] + t[:len(t) // 2]).encode()).hexdigest() and got[0].near_next == 1

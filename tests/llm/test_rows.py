@@ -250,11 +250,26 @@ def test_labels_of_held_out_rows_are_not_learnt(spark):
     assert sample(docs, turned, "toxic", 60).equals(sample(docs, labels, "toxic", 60))
 
 
-def test_long_and_absent_documents_cost_no_sample_row(spark):
+def test_absent_documents_cost_no_sample_row_and_long_ones_are_learnt_from(spark):
     long = F.expr("id % 4 < 2")
-    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.when(long, F.repeat(F.lit("x "), 50_001)).otherwise("short text").alias("text"))
+    text = F.when(long, F.concat(F.repeat(F.lit("x "), 50_001), F.repeat(F.lit("é "), 20_000))).otherwise("short text")
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), text.alias("text"))
     labels = spark.range(800).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
     drawn = sample(docs, labels, "toxic", 30)
-    assert drawn["label"].value_counts().to_dict() == {0: 30, 1: 30} and set(drawn["text"]) == {"short text"}
+    assert drawn["label"].value_counts().to_dict() == {0: 30, 1: 30}
+    windows = [t for t in drawn["text"] if t != "short text"]
+    whole = "x " * 50_001 + "é " * 20_000
+    assert len(windows) > 10 and all(len(t) == 25_000 and t in whole for t in windows) and len(set(windows)) > 3
+    assert len(drawn) - len(windows) > 10
     one = toxicity.train(docs, labels.where("toxic = 1"))
     assert one == 1.0 and toxicity.reject(docs, one).count() == 400
+
+
+def test_an_id_of_many_rows_is_one_sample_row(spark):
+    docs = spark.range(5000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text")) \
+        .unionByName(spark.createDataFrame([(8, None), (8, "other"), (9, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(7, 1), (7, 1), (8, 0), (9, 0)], "doc_id long, toxic int")
+    drawn = sample(docs, labels, "toxic", 30)
+    assert len(drawn) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in (7, 8, 9))
+    assert drawn["doc_id"].is_unique and all(t == "other" for t in drawn[drawn["doc_id"] == 8]["text"])
+    assert drawn.equals(sample(docs.repartition(5), labels, "toxic", 30))
