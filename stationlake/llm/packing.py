@@ -4,11 +4,12 @@ Documents are tokenised whole and cut into pieces of at most ``capacity`` tokens
 pieces, a few numbers each, are dealt at random into groups of about ``GROUP``; each
 group is packed on its own by best fit, longest first, and then by exchanging one
 document for one, two for one, or moving one, between underfull bins whenever that
-raises the sum of squared fills, until no bin can be emptied. A group leaves less than
-one bin more than its tokens need when the search succeeds, whatever the corpus size.
+raises the sum of squared fills, until a group has as few bins as its tokens allow or no such step
+between any of its bins is left. So a group may end with more bins than its tokens fill, where lengths do not go together.
 
 Null text counts as empty (its only token is the end id). Repeated rows are packed each
-on its own. Other input columns are ignored; an empty table gives an empty result.
+on its own; they are counted first and dealt ``TOGETHER`` at a time, so that however many there are,
+no group grows with them. Other input columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from stationlake.llm.common import parts, staged
 
 CAPACITY, END_ID, GROUP = 4096, 1, 16384
-#: Least filled bins of a group that the search takes documents out of.
-SOURCES = 64
+#: Equal rows (of one id, piece and checksum) that go to one group.
+TOGETHER = 64
 #: Words whose ids a task remembers; beyond that it starts to remember anew.
 REMEMBERED = 700_000
 #: Ids travel through pandas as text, so that nulls and large ids stay exact.
@@ -152,56 +153,80 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int, sources: int = SOURCES) -> list[list[int]]:
+def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
     """Local search: empties bins into the room of the others.
 
-    Each step takes documents out of one of the ``sources`` least filled bins, the emptiest
-    first: it moves one, or exchanges one or two for one of another underfull bin, such that
-    the sum of squared fills rises; so the search ends. It stops when the bins are as few as
-    the tokens allow, or when no such step is left."""
+    It goes through the underfull bins, the emptiest first, and takes documents out of each as
+    long as a step (:func:`_step`) raises the sum of squared fills; so the search ends. It stops when the
+    bins are as few as the tokens allow, or after a round in which no bin had a step left."""
     least = -(-int(lengths.sum()) // capacity)
-    bins = [list(b) for b in bins]
-    fill = [int(lengths[b].sum()) for b in bins]
-    while len(bins) > least:
-        by_fill = sorted(range(len(bins)), key=fill.__getitem__)[:sources]
-        k = next((k for k in by_fill if fill[k] < capacity and _step(bins, fill, k, lengths, capacity)), None)
-        if k is None:
-            break
-        if not bins[k]:
-            del bins[k], fill[k]
-    return bins
-
-
-def _step(bins: list[list[int]], fill: list[int], k: int, lengths: np.ndarray, capacity: int) -> bool:
-    others = [j for j in range(len(bins)) if j != k and fill[j] < capacity]
-    if not others:
+    bins = [list(b) for b in bins if b]
+    fill = np.array([lengths[b].sum() for b in bins], np.int64)
+    where = np.zeros(len(lengths), np.int64)
+    for k, b in enumerate(bins):
+        where[b] = k
+    left, going = len(bins), True
+    while going and left > least:
+        going = False
+        for k in np.argsort(fill, kind="stable").tolist():
+            while left > least and fill[k] < capacity and _step(bins, fill, k, lengths, capacity, where):
+                going = True
+                if not bins[k]:
+                    fill[k], left = capacity, left - 1  # takes no part any more
+    return [b for b in bins if b]
+
+
+def _step(bins: list[list[int]], fill, k: int, lengths: np.ndarray, capacity: int, where: np.ndarray | None = None) -> bool:
+    """Moves one document of bin ``k``, or exchanges one or two for one of another underfull bin, if that raises
+    the sum of squared fills. Every bin, document and pair is looked at, by length: the distinct
+    lengths of a bin add up to ``capacity`` at most, so they are few. ``where`` is the bin of each document."""
+    if where is None:
+        where = np.zeros(len(lengths), np.int64)
+        for j, b in enumerate(bins):
+            where[b] = j
+    fills = np.asarray(fill)
+    room, behind = capacity - fills, fills[k] - fills  # a gain must be above ``behind`` to raise the squares
+    room[k] = 0
+    most = int(room.max())
+    if not most:
         return False
-    fills = np.array([fill[j] for j in others])
-    room, behind = capacity - fills, fill[k] - fills  # a gain must be above ``behind`` to raise the squares
-    own = sorted(bins[k], key=lambda i: -lengths[i])
-    for i in own:  # move: where the least room stays
-        fits = np.flatnonzero((room >= lengths[i]) & (behind < lengths[i]))
+    own: dict[int, list[int]] = {}
+    for i in bins[k]:
+        own.setdefault(int(lengths[i]), []).append(i)
+    sizes = sorted(own, reverse=True)
+    for n in sizes:  # move: where the least room stays
+        fits = np.flatnonzero((room >= n) & (behind < n)) if n <= most else ()
         if len(fits):
-            _exchange(bins, fill, k, [i], others[fits[np.argmin(room[fits])]], [], lengths)
+            _exchange(bins, fill, where, k, own[n][:1], int(fits[np.argmin(room[fits])]), [], lengths)
             return True
-    theirs = np.array([i for j in others for i in bins[j]])
-    where = np.repeat(np.arange(len(others)), [len(bins[j]) for j in others])
-    size, most, above = lengths[theirs], room[where], np.maximum(0, behind[where])
-    pairs = [[a, b] for x, a in enumerate(own[:64]) for b in own[x + 1:64]]
-    for mine in [[i] for i in own] + pairs:  # one for one, two for one: the largest gain
-        gain = int(lengths[mine].sum()) - size
-        gain[(gain > most) | (gain <= above)] = 0
-        at = int(np.argmax(gain))
-        if gain[at] > 0:
-            _exchange(bins, fill, k, mine, others[where[at]], [int(theirs[at])], lengths)
-            return True
-    return False
+    # what one or two documents of this bin add up to, and for each number the largest such sum up to it
+    one = np.array(sizes)
+    two = one[:, None] + one
+    twice = np.array([len(own[n]) > 1 for n in sizes])
+    sums = np.zeros(capacity + 1, np.int64)
+    sums[one] = one
+    two = two[np.triu(np.ones(two.shape, bool), 1) | np.diag(twice)]
+    sums[two] = two
+    up_to = np.maximum.accumulate(sums)
+    theirs = np.flatnonzero(room[where] > 0)
+    size, other = lengths[theirs], where[theirs]
+    gain = up_to[size + room[other]] - size  # the largest that the other bin has room for
+    gain[gain <= np.maximum(0, behind)[other]] = 0
+    at = int(np.argmax(gain)) if len(gain) else -1
+    if at < 0 or gain[at] <= 0:
+        return False
+    total = int(gain[at] + size[at])
+    a = total if total in own else next(n for n in sizes if total - n in own and (total != 2 * n or len(own[n]) > 1))
+    mine = own[a][:1] if a == total else [own[a][0], own[total - a][-1]]
+    _exchange(bins, fill, where, k, mine, int(other[at]), [int(theirs[at])], lengths)
+    return True
 
 
-def _exchange(bins, fill, k, mine, j, theirs, lengths) -> None:
+def _exchange(bins, fill, where, k: int, mine: list[int], j: int, theirs: list[int], lengths: np.ndarray) -> None:
     moved = int(lengths[mine].sum()) - int(lengths[theirs].sum() if theirs else 0)
     bins[k] = [i for i in bins[k] if i not in mine] + theirs
     bins[j] = [i for i in bins[j] if i not in theirs] + mine
+    where[mine], where[theirs] = j, k
     fill[k] -= moved
     fill[j] += moved
 
@@ -219,15 +244,21 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     """All pieces of ``docs`` with ``sequence_id`` and ``offset`` (see :func:`pieces`)."""
     cut = staged(pieces(docs, tokenizer, capacity, end_id), "pieces")
     groups = parts(docs.sparkSession, cut.count(), group)
+    together = max(1, min(TOGETHER, group // 4))
 
     def packed(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.loc[f.index.repeat(f["copies"])]
         # the order of arrival may differ between attempts; the packing must not
         f = f.sort_values(["length", "doc_id", "piece", "ids_crc32"], kind="stable")
         bin_of, offset = pack_group(f["length"].to_numpy(), capacity)
         f["sequence_id"] = f["sequence_group"].to_numpy() * (1 << 32) + bin_of
         f["offset"] = offset
-        return f.drop(columns="sequence_group")
-
-    dealt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).alias("sequence_group")
-    return cut.select("*", dealt).groupBy("sequence_group").applyInPandas(packed, PIECES + ", sequence_id long, offset long") \
+        return f.drop(columns=["sequence_group", "copies"])
+
+    lots = cut.groupBy(*cut.columns).agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / together))))
+    copies = F.least(F.lit(together), F.col("n") - F.col("lot") * together).alias("copies")
+    dealt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "lot"), F.lit(groups)).alias("sequence_group")
+    return lots.select(*cut.columns, copies, dealt).groupBy("sequence_group") \
+        .applyInPandas(packed, PIECES + ", sequence_id long, offset long") \
         .withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -1,5 +1,8 @@
 """The numpy parts on their own: integer packing, suffix sorting, bins, gradients, windows."""
 
+import itertools
+import time
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -68,6 +71,50 @@ def test_search_empties_a_bin_that_best_fit_leaves():
     assert len(packing.improve([[0, 1], [2, 3], [4]], lengths, 101)) == 2
 
 
+def _step_left(bins, lengths, capacity):
+    """Any move, or exchange of one or two for one, that raises the sum of squared fills."""
+    fill = [int(lengths[b].sum()) for b in bins]
+    for k, j in itertools.permutations(range(len(bins)), 2):
+        if fill[k] == capacity or fill[j] == capacity:
+            continue
+        for mine in [(i,) for i in bins[k]] + list(itertools.combinations(bins[k], 2)):
+            for theirs in [0] + [int(lengths[i]) for i in bins[j]]:
+                if theirs == 0 and len(mine) == 2:
+                    continue
+                gain = int(lengths[list(mine)].sum()) - theirs
+                if 0 < gain <= capacity - fill[j] and gain > fill[k] - fill[j]:
+                    return k, j, mine, theirs
+    return None
+
+
+@given(st.lists(st.integers(20, 70), min_size=2, max_size=60))
+@settings(max_examples=60, deadline=None)
+def test_search_leaves_no_step_between_any_two_bins(sizes):
+    lengths = np.array(sizes)
+    bins = packing.improve(packing.best_fit(lengths, 100), lengths, 100)
+    if len(bins) > -(-lengths.sum() // 100):
+        assert _step_left(bins, lengths, 100) is None
+
+
+@pytest.mark.parametrize("low, high, most", [(1300, 1449, 336), (1200, 2199, 410)])
+def test_search_looks_beyond_the_least_filled_bins(low, high, most):
+    lengths = np.random.default_rng(0).integers(low, high + 1, 900)
+    assert len(packing.improve(packing.best_fit(lengths, 4096), lengths, 4096)) <= most
+
+
+def test_search_over_bins_of_many_documents():
+    lengths = np.random.default_rng(1).integers(1, 9, 3000)
+    bins = packing.improve(packing.best_fit(lengths, 1000) + [[]], lengths, 1000)
+    assert len(bins) == -(-lengths.sum() // 1000) and sorted(i for b in bins for i in b) == list(range(3000))
+
+
+def test_a_whole_group_is_searched_in_time():
+    lengths = np.random.default_rng(0).integers(900, 1150, 16384)
+    start = time.monotonic()
+    bins = packing.improve(packing.best_fit(lengths, 4096), lengths, 4096)
+    assert len(bins) <= 1.005 * lengths.sum() / 4096 and time.monotonic() - start < 60
+
+
 def test_search_raises_squared_fill():
     rng = np.random.default_rng(4)
     lengths = rng.integers(1, 70, 60)

@@ -59,6 +59,17 @@ def test_packing_numerals_among_letters(spark):
     assert by_id([tuple(r)[:5] for r in packed]) == _pieces(rows, 512)
 
 
+def test_packing_many_equal_rows(spark):
+    """Ten thousand rows of one id, and as many without an id, are spread over the groups, each packed once."""
+    rows = [(7, "one two three")] * 10_000 + [(None, "four five")] * 10_000
+    packed = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH, capacity=512, group=500).toPandas()
+    assert packed["doc_id"].isna().sum() == 10_000 and (packed["doc_id"] == 7).sum() == 10_000
+    per_group = (packed["sequence_id"] // (1 << 32)).value_counts()
+    assert len(per_group) == 40 and per_group.max() < 2000
+    for _, f in packed.sort_values("offset").groupby("sequence_id"):
+        assert (f["offset"].to_numpy() == f["length"].cumsum().to_numpy() - f["length"].to_numpy()).all() and f["length"].sum() <= 512
+
+
 def test_packing_nothing(nothing):
     assert packing.pack(nothing, PATH).count() == 0
 
