@@ -143,6 +143,39 @@ def test_stream_takes_archives(spark, workdir):
     assert spark.read.parquet(paths["import_log"]).count() == 2
 
 
+def _logged(spark, out):
+    rows = spark.read.parquet(table_paths(out)["import_log"]).collect()
+    return sorted((r["file_name"], r["success"]) for r in rows)
+
+
+def test_stream_and_batch_log_the_same_files(spark, workdir):
+    """Files without bytes, alone in a batch too, and names that a reader would take for patterns."""
+    files = {"a.csv": small_file(rows=[ROW.format(i=1)]), "b[1]{x}*.csv": small_file(rows=[ROW.format(i=2)]), "empty.csv": "", "none.gz": ""}
+    inbox = _inbox(workdir, "in", files)
+    batch, stream = os.path.join(workdir, "batch"), os.path.join(workdir, "stream")
+    ingest(spark, inbox, batch)
+    run_stream_ingest(spark, inbox, stream)
+    assert _logged(spark, stream) == _logged(spark, batch) and len(_logged(spark, batch)) == 4
+    assert spark.read.parquet(table_paths(stream)["measurement"]).count() == 6
+    write_text(os.path.join(inbox, "later.csv"), "")
+    run_stream_ingest(spark, inbox, stream)
+    ingest(spark, inbox, batch)
+    assert _logged(spark, stream) == _logged(spark, batch) and len(_logged(spark, batch)) == 5
+
+
+def test_committed_batch_is_archived_when_run_again(spark, workdir):
+    """The driver is lost between two moves: the batch comes again, though one of its files is gone."""
+    inbox = _inbox(workdir, "in", {f"{i}.csv": small_file(rows=[ROW.format(i=i)]) for i in (1, 2)})
+    paths = [os.path.join(inbox, n) for n in os.listdir(inbox)]
+    out, backup = os.path.join(workdir, "out"), os.path.join(workdir, "backup")
+    import_batch(spark, paths, out, "stream-x-0", inbox)
+    os.makedirs(backup)
+    os.rename(os.path.join(inbox, "1.csv"), os.path.join(backup, "1.csv"))
+    log = import_batch(spark, paths, out, "stream-x-0", inbox, archive_to=backup)
+    assert log.count() == 2 and os.listdir(inbox) == [] and sorted(n for n in os.listdir(backup) if not n.startswith(".")) == ["1.csv", "2.csv"]
+    assert spark.read.parquet(table_paths(out)["measurement"]).count() == 6
+
+
 def test_hot_partition_is_cut(spark, workdir):
     rows = [f"P1,S{i},F_1,2020-01-01 00:00:00,2020-01-01 00:00:05,{i},2,3" for i in range(4000)]
     inbox = _inbox(workdir, "in", {"a.csv": small_file(rows=rows)})
