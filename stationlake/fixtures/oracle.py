@@ -266,6 +266,8 @@ def oracle_sql() -> dict[str, str]:
                                        ORDER BY csv_file DESC, line_no DESC) = 1""",
         "second_dialect": f"""{_with(li, cells)}
             SELECT csv_file, line_no, pos, item, value FROM cells""",
+        "dialect_layout": f"""{_with(li, cells)}
+            SELECT line_no + 1 AS line_no, pos, {_MEAS_COLS} FROM cells""",
         "file_outcomes": f"""{_with(li)},
             f AS (SELECT l_suppkey, l_suppkey % 8 AS kind, any_value(n_common) AS n_common, count(*) AS cnt,
                          min(CASE WHEN l_discount <> 0 OR l_tax <> 0 THEN line_no END) AS short_line,

@@ -20,8 +20,9 @@ from stationlake.operators import tables as tb
 from stationlake.plans.export import archive_dir, export_station, preview, row_text, write_text
 from stationlake.plans.ingest import ingest_lines, table_paths
 from stationlake.plans.pipeline import Parsed, import_log, import_summary, parse_lines
-from stationlake.schemas import (LINES_SCHEMA, MEASUREMENT_COLUMNS, MEASUREMENT_KEY, MEASUREMENT_SCHEMA, RUN_META_COLUMNS,
-                                 RUN_META_KEY, RUN_META_SCHEMA, SPEC_KEY, SPEC_SCHEMA, Dialect)
+from stationlake.schemas import (COMMON_COLUMNS, DISPLAY_LINE, FIRST_DATA_LINE, HEADER_LINE, LINES_SCHEMA, LOWER_LINE, MEASUREMENT_COLUMNS,
+                                 MEASUREMENT_KEY, MEASUREMENT_SCHEMA, PRIORITY_LINE, RUN_META_COLUMNS, RUN_META_KEY, RUN_META_SCHEMA,
+                                 SPEC_KEY, SPEC_SCHEMA, STATION_LINE, UNIT_LINE, UPPER_LINE, Dialect)
 from stationlake.session import staging, staging_dir
 from stationlake.sources.files import inbox_listing, read_inbox, read_lines
 from stationlake.sources.tables import partition_cols_for, partition_schema, read_table
@@ -262,6 +263,35 @@ def q_second_dialect(spark, sf_dir):
     return p.good_cells.select("csv_file", "line_no", "pos", "item", "value")
 
 
+#: Another file layout: where each line of the default one stands, and what its common columns are called.
+OTHER_LINES = {STATION_LINE: 5, HEADER_LINE: 4, DISPLAY_LINE: 7, PRIORITY_LINE: 6, UPPER_LINE: 3, LOWER_LINE: 2, UNIT_LINE: 1}
+OTHER_NAMES = {"Product": "Model", "SerialNumber": "SN", "Station ID": "Place", "Test Pass/Fail Status": "Result",
+               "StartTime": "Began", "EndTime": "Ended", "Version": "Rev"}
+OTHER_DIALECT = Dialect(
+    separator="|", version_header="rev",
+    common_columns=tuple(({k.lower(): v.lower() for k, v in OTHER_NAMES.items()}.get(name, name), out) for name, out in COMMON_COLUMNS),
+    station_line=OTHER_LINES[STATION_LINE], header_line=OTHER_LINES[HEADER_LINE], display_line=OTHER_LINES[DISPLAY_LINE],
+    priority_line=OTHER_LINES[PRIORITY_LINE], upper_line=OTHER_LINES[UPPER_LINE], lower_line=OTHER_LINES[LOWER_LINE],
+    unit_line=OTHER_LINES[UNIT_LINE], first_data_line=FIRST_DATA_LINE + 1)
+
+
+def q_dialect_layout(spark, sf_dir):
+    """The same files in another layout: preamble in another order, a remark before the data, other
+    separator and other names of the common columns. A parameter of the parser says so; results are the same."""
+    names = F.col("value")
+    for old, new in OTHER_NAMES.items():
+        names = F.regexp_replace(names, f"(^|,){old}(?=,|$)", f"$1{new}")
+    line, moved = F.col("line_no"), F.col("line_no") + 1
+    for old, new in OTHER_LINES.items():
+        moved = F.when(line == old, F.lit(new)).otherwise(moved)
+    lines = lines_of(spark, sf_dir)
+    there = lines.withColumn("value", F.translate(F.when(line == HEADER_LINE, names).otherwise(F.col("value")), ",", "|")) \
+        .withColumn("line_no", moved.cast("long"))
+    remarks = lines.where(line == 1).withColumns({"line_no": F.lit(FIRST_DATA_LINE).cast("long"), "value": F.lit("# data | below")})
+    p = parse_lines(there.unionByName(remarks), OTHER_DIALECT)
+    return tb.measurement(p.good_cells, keep_order=True).select("line_no", "pos", *MEASUREMENT_COLUMNS)
+
+
 def q_run_meta_latest(spark, sf_dir):
     """The last run of each product, station and version: keys that repeat many times."""
     meta = tb.run_meta(_rows(spark, sf_dir), keep_order=True)
@@ -406,6 +436,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rejects": q_rejects,
     "file_outcomes": q_file_outcomes,
     "second_dialect": q_second_dialect,
+    "dialect_layout": q_dialect_layout,
     "run_meta_latest": q_run_meta_latest,
     "scan_compressed": q_scan_compressed,
     "scan_zip": q_scan_zip,
