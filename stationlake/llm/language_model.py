@@ -9,9 +9,10 @@ word seen after it, whose weight is the smoothed log-probability
 and a failure arc to the state of the shorter context, whose weight
 log(prior / (count(context) + prior)) is added where the word has no arc. The shortest
 context has an arc for every word, known or not: (count + 1) / (N + V + 1). A text is read
-once from left to right: each position carries the state that the two words before lead to,
-and the weights of the arcs taken are summed. The probabilities of all words after a context
-sum to one.
+once from left to right: a cursor carries the state, follows an arc or failure arcs at each
+word, and sums their weights (:mod:`stationlake.llm.automaton`). A long text is read by several
+cursors, each set down in the state that the two words before it lead to. The probabilities of all
+words after a context sum to one.
 
 Nothing is broadcast. Documents are read in chunks; a chunk sends the hashes of the n-grams
 it has, each once, with its training counts, to the slices of the key space, and gets
@@ -36,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.llm.automaton import ROOT, Automaton, spans
 from stationlake.llm.common import by_bytes, parts
 from stationlake.llm.exchange import bundle, mixed, pack, pack_sorted, slice_bounds, unbundle, unpack, unpack_sorted
 
@@ -83,10 +85,13 @@ class Chunk:
         return cls(words[order], rank[np.concatenate(tokens)] if tokens else np.zeros(0, np.int64),
                    np.array(sizes, np.int64), np.array([is_held_out(i) for i in ids], bool), bits)
 
+    def start(self) -> int:
+        return int(np.searchsorted(self.words, np.uint64(xxhash.xxh64_intdigest(START) >> (64 - self.bits[0]))))
+
     def _history(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The word before each token (START at a text's first), the one before that, and
         whether there is such a one."""
-        start = np.searchsorted(self.words, np.uint64(xxhash.xxh64_intdigest(START) >> (64 - self.bits[0])))
+        start = self.start()
         first = np.zeros(len(self.tokens), bool)
         first[np.cumsum(self.sizes) - self.sizes] = True
         one = np.concatenate([[start], self.tokens[:-1]])
@@ -125,26 +130,52 @@ class Chunk:
         return chunk, [i or None for i in zlib.decompress(names).decode().split("\n")]
 
 
+def automaton_of(chunk: Chunk, grams: list, totals: list[np.ndarray], n: int, v: int, texts: int, priors=PRIORS) -> tuple[Automaton, np.ndarray, np.ndarray]:
+    """The part of the corpus' automaton that the chunk's texts can reach, the state after each of
+    their tokens, and the state that a text starts in. ``grams``: the place of each position's
+    n-grams, for n = 1, 2, 3; the rest as in :func:`score_chunk`."""
+    one, _, _ = chunk._history()
+    start, end, width = chunk.start(), chunk.tokens[-1], len(chunk.words)
+    seen = totals[0].copy()  # of words as contexts:
+    seen[start], seen[end] = texts, 0  # texts that begin are what START counts, and nothing follows an END
+    # states: the root, then words that were seen, then pairs of words that were seen
+    single = np.where(seen > 0, np.cumsum(seen > 0), ROOT)
+    ones = int((seen > 0).sum())
+    place2, place3 = grams[1], grams[2]
+    # one position where each pair and each triple stands: every token ends a pair, all but a text's first a triple
+    at2, at3 = np.zeros(len(totals[1]), np.int64), np.zeros(len(totals[2]), np.int64)
+    at2[place2] = np.arange(len(place2))
+    inner = np.flatnonzero(place3 >= 0)
+    at3[place3[inner]] = inner
+    left, last = one[at2], chunk.tokens[at2]
+    pairs = (totals[1] > 0) & (last != end)
+    double = np.where(pairs, ones + np.cumsum(pairs), single[last])
+    root = (totals[0] + 1) / (n + v + 1)
+    p_one = (totals[1] + priors[0] * root[last]) / (seen[left] + priors[0])
+    context, longer = place2[at3 - 1], place2[at3]  # the pair before a triple's last word, and the pair that ends it
+    p_two = (totals[2] + priors[1] * p_one[longer]) / (totals[1][context] + priors[1])
+    has1, has2 = (totals[1] > 0) & (seen[left] > 0), (totals[2] > 0) & pairs[context]
+    arcs = np.concatenate([np.arange(width), single[left[has1]] * width + last[has1],
+                           double[context[has2]] * width + chunk.tokens[at3[has2]]])
+    weights = np.log10(np.concatenate([root, p_one[has1], p_two[has2]]))
+    targets = np.concatenate([single, double[has1], double[longer[has2]]])
+    fail = np.concatenate([[ROOT], np.full(ones, ROOT), single[last[pairs]]])
+    fail_weights = np.concatenate([[0.0], np.log10(priors[0] / (seen[seen > 0] + priors[0])), np.log10(priors[1] / (totals[1][pairs] + priors[1]))])
+    return Automaton(width, arcs, weights, targets, fail, fail_weights), double[place2], single[start]
+
+
 def score_chunk(chunk: Chunk, totals: list[np.ndarray], n: int, v: int, texts: int, priors=PRIORS):
     """Walks all texts of a chunk. ``totals``: counts in all training texts of the chunk's n-grams
     in the order of :meth:`Chunk.grams`; ``n``, ``v``, ``texts``: tokens, words and texts there.
     Returns known tokens, base score and score of each text."""
-    counts = [np.where(where >= 0, t[where], 0).astype(float) for (_, where, _), t in zip(chunk.grams(), totals)]
-    one, _, inner = chunk._history()
-    single, pair, triple = counts
-    after_one = np.where(inner, totals[0][one], texts).astype(float)  # texts that begin are what START counts
-    after_two = np.concatenate([[0.0], pair[:-1]])  # count of the two words before, in the same text
-    root = (single + 1) / (n + v + 1)
-    base = np.log10(root)
-    # one word of context: an arc where the pair was seen, else the failure arc to the root
-    p_one = (pair + priors[0] * root) / (after_one + priors[0])
-    weight_one = np.where(pair > 0, np.log10(p_one), np.log10(priors[0] / (after_one + priors[0])) + base)
-    # two words of context: a state only where they were seen
-    p_two = (triple + priors[1] * p_one) / (after_two + priors[1])
-    weight_two = np.where(triple > 0, np.log10(p_two), np.log10(priors[1] / (after_two + priors[1])) + weight_one)
-    walked = np.where(inner & (after_two > 0), weight_two, weight_one)
+    automaton, after, begin = automaton_of(chunk, [where for _, where, _ in chunk.grams()], totals, n, v, texts, priors)
+    text, place, size = spans(chunk.sizes)
+    first = place == (np.cumsum(chunk.sizes) - chunk.sizes)[text]
+    walked = automaton.walk(chunk.tokens, place, size, np.where(first, begin, after[place - 1]))
     at = np.cumsum(chunk.sizes) - chunk.sizes
-    return (np.add.reduceat(single > 0, at, dtype=np.int64), np.add.reduceat(base, at), np.add.reduceat(walked, at))
+    single = totals[0][chunk.tokens]
+    base = np.log10((single + 1) / (n + v + 1))
+    return (np.add.reduceat(single > 0, at, dtype=np.int64), np.add.reduceat(base, at), np.bincount(text, walked, len(chunk.sizes)))
 
 
 def score(docs: DataFrame, priors=PRIORS, chunk_chars: int = CHUNK, slice_chars: int = SLICE) -> DataFrame:
