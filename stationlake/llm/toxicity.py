@@ -4,7 +4,7 @@ A document's words are read in windows of ``WINDOW``, each starting ``STRIDE`` a
 before, up to the last word; the document's score is that of its most toxic window. The
 network (:mod:`stationlake.llm.recurrent`) learns in numpy from a bounded sample of labelled
 documents: a window of a document stands for it, drawn at random at first, then the one
-that the network itself finds most toxic.
+that the network itself finds most toxic. A long text is read in pieces that keep all its windows.
 
 Null, empty and blank texts score 0. Without labels of both kinds every other score is the
 sample's share of label 1, and :func:`reject` keeps every row. Repeated rows each get their score; other columns are ignored by
@@ -13,6 +13,7 @@ sample's share of label 1, and :func:`reject` keeps every row. Repeated rows eac
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,9 @@ from stationlake.llm.recurrent import Adam, Network, Vocabulary, restrict, sigmo
 WINDOW, STRIDE, THRESHOLD = 32, 16, 0.5
 #: Documents of each label to learn from, times that they are read, windows read at once, characters of a frame.
 ROWS, EPOCHS, BLOCK, FRAME = 1500, 16, 2048, 2 << 20
+#: Words of a piece of a long text (a multiple of the stride), and words of pieces scored together.
+PIECE, BATCH = 1 << 17, 1 << 19
+BREAK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -52,17 +56,46 @@ def logits(net: Network, x: np.ndarray, some: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.float32)
 
 
+def pieces(text: str | None) -> Iterator[list[bytes]]:
+    """The words of a text in pieces whose windows, taken together, are those of the whole text:
+    each piece but the last ends where its last window does, and the next starts a stride later."""
+    raw, at, held = (text or "").encode().lower(), 0, []
+    while at < len(raw):
+        gap = BREAK.search(raw, at + FRAME)
+        stop = gap.start() if gap else len(raw)
+        held += raw[at:stop].split()
+        at = stop
+        while len(held) >= PIECE + WINDOW:
+            yield held[:PIECE + WINDOW - STRIDE]
+            held = held[PIECE:]
+    if held:
+        yield held
+
+
+def _batches(texts: list[str | None]) -> Iterator[tuple[list[int], list[list[bytes]]]]:
+    """The pieces of all texts and whose they are, some ``BATCH`` words at a time."""
+    owners, held, size = [], [], 0
+    for i, text in enumerate(texts):
+        for piece in pieces(text):
+            owners.append(i)
+            held.append(piece)
+            size += len(piece)
+            if size >= BATCH:
+                yield owners, held
+                owners, held, size = [], [], 0
+    if held:
+        yield owners, held
+
+
 def document_scores(net: Network, texts: list[str | None]) -> np.ndarray:
-    words = [words_of(t) for t in texts]
-    vocabulary = Vocabulary()
-    ids = vocabulary.ids([w for ws in words for w in ws])
-    seen, owner = windows(ids, np.array([len(ws) for ws in words], np.int64))
-    out = np.zeros(len(texts))
-    if len(seen):
-        best = np.full(len(texts), -np.inf)
-        np.maximum.at(best, owner, logits(net, net.words(vocabulary.inputs()), seen))
-        out = np.where(np.isfinite(best), sigmoid(best), 0.0)
-    return out
+    """The score of each text's most toxic window; memory follows ``BATCH``, not the longest text."""
+    best = np.full(len(texts), -np.inf)
+    for owners, words in _batches(texts):
+        vocabulary = Vocabulary()
+        ids = vocabulary.ids([w for ws in words for w in ws])
+        seen, piece = windows(ids, np.array([len(ws) for ws in words], np.int64))
+        np.maximum.at(best, np.array(owners)[piece], logits(net, net.words(vocabulary.inputs()), seen))
+    return np.where(np.isfinite(best), sigmoid(best), 0.0)
 
 
 def fit(texts: list[str | None], label: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Network | float:
