@@ -5,6 +5,9 @@ that every match contains. Each rule is filed under the one of its tokens that t
 fewest URLs have; a URL fetches the rules filed under its own tokens by an equi-join,
 and only those run their regular expression. The best-ranked match of a URL wins.
 
+Rules are given as such or as lines of a filter list (:func:`rules_of`). A rule none of whose tokens
+is whole in every match is filed where each URL fetches it.
+
 Null URLs and URLs without ``://`` have an empty host and path and no tokens, so no
 rule fits them and the default verdict holds. Repeated rows are judged each on its
 own; other columns of the input are ignored; an empty table gives an empty result.
@@ -22,6 +25,8 @@ from stationlake.llm.common import ascii_lower
 
 #: Up to so many rules are broadcast as the index; larger sets are joined by a shuffle.
 BROADCAST_RULES = 100_000
+#: Where rules without any whole token are filed; no URL has it of itself.
+EVERY = "*"
 
 
 @dataclass(frozen=True)
@@ -51,6 +56,51 @@ def keyword_rule(verdict: str, keyword: str) -> Rule:
     return Rule(None, rf"^[^/]*?(?<![a-z0-9]){re.escape(keyword)}(?![a-z0-9])[^/]*(?:/|$)", tokens, verdict, len(keyword))
 
 
+def _whole_tokens(body: str, opens: bool, closes: bool) -> tuple[str, ...]:
+    """The tokens that every match of a list rule has whole: what touches a wildcard or an end
+    without an anchor may be a part of a longer token."""
+    found = []
+    parts = body.split("*")
+    for i, part in enumerate(parts):
+        for m in re.finditer("[a-z0-9]+", part):
+            left = m.start() > 0 or (i == 0 and opens)
+            right = m.end() < len(part) or (i == len(parts) - 1 and closes)
+            if left and right:
+                found.append(m.group())
+    return tuple(dict.fromkeys(found))
+
+
+def list_rule(line: str) -> Rule | None:
+    """A line of a filter list as a rule over host and path, in any case of letters:
+    ``||`` begins a host or one of its subdomains, ``|`` is the start (a scheme after it is left out) or
+    the end, ``*`` any text, ``^`` a separator or the end, ``@@`` before a rule an exception, which outranks
+    all others; of equals the longer rule wins. Blank lines, comments (``!``, ``[``) and rules on
+    elements of a page (``##``, ``#@#``) give None; options (``$``) are refused: they ask for more than a URL."""
+    name = line.strip()
+    if not name or name[0] in "![" or "##" in name or "#@#" in name:
+        return None
+    if "$" in name:
+        raise ValueError(f"options of a filter rule are not supported: {name}")
+    allow = name.startswith("@@")
+    body = name[2 * allow:].lower()
+    host, start = body.startswith("||"), body.startswith("|")
+    body = re.sub("^[a-z]+://", "", body[1 + host:]) if start else body
+    end = body.endswith("|")
+    body = body[:-1] if end else body
+    if not body.strip("*"):
+        raise ValueError(f"a filter rule without text: {name}")
+    pattern = "".join(".*" if c == "*" else r"(?:[^a-z0-9_.%-]|\z)" if c == "^" else re.escape(c) for c in body)
+    opening = r"^(?:[^/?#]*\.)?" if host else "^" if start else ""
+    closing = r"\z" if end else ""
+    rank = (2_000_000 if allow else 1_000_000) + len(name)
+    return Rule(name, f"(?si){opening}{pattern}{closing}", _whole_tokens(body, start, end), "allow" if allow else "block", rank)
+
+
+def rules_of(lines: list[str]) -> list[Rule]:
+    """The rules of a filter list, each once."""
+    return list(dict.fromkeys(r for r in map(list_rule, lines) if r))
+
+
 CONTRACT_RULES = [
     host_path_rule("block", "net/"),
     host_path_rule("allow", "example.net/en/"),
@@ -87,7 +137,7 @@ def rarest_tokens(urls: DataFrame, rules: list[Rule]) -> dict[Rule, str]:
     found = urls.select(F.explode(_tokens()).alias("token")).join(_small(known, wanted), "token") \
         .groupBy("token").count().collect()
     count = {r["token"]: r["count"] for r in found}
-    return {r: min(r.tokens, key=lambda t: (count.get(t, 0), t)) for r in rules}
+    return {r: min(r.tokens, key=lambda t: (count.get(t, 0), t), default=EVERY) for r in rules}
 
 
 def _small(df: DataFrame, rows: list) -> DataFrame:
@@ -105,9 +155,11 @@ def judge(pages: DataFrame, rules: list[Rule] = CONTRACT_RULES + KEYWORD_RULES,
                                   "token string, rule_no int, pattern string")
     outcome = spark.createDataFrame([(i, r.name, r.verdict) for i, r in enumerate(ranked)],
                                     "rule_no int, rule string, verdict string")
+    # rules without a whole token are filed under one that every URL has
+    tokens = F.array_append(_tokens(), F.lit(EVERY)) if EVERY in token.values() else _tokens()
     fits = F.when(F.expr("concat(host, path) rlike pattern"), F.col("rule_no"))
     best = urls.withColumn("row", F.monotonically_increasing_id()) \
-        .select("*", F.explode(_tokens()).alias("token")) \
+        .select("*", F.explode(tokens).alias("token")) \
         .join(_small(index, ranked), "token", "left") \
         .groupBy("row", "page_id", "host", "path").agg(F.max(fits).alias("rule_no"))
     return best.join(_small(outcome, ranked), "rule_no", "left").select(
