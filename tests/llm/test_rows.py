@@ -275,3 +275,34 @@ def test_an_id_of_many_rows_is_one_sample_row(spark):
     assert len(drawn) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in (7, 8, 9))
     assert drawn["doc_id"].is_unique and all(t == "other" for t in drawn[drawn["doc_id"] == 8]["text"])
     assert drawn.equals(sample(docs.repartition(5), labels, "toxic", 30))
+
+
+def test_quality_learns_from_every_labelled_document(spark, monkeypatch):
+    for name, value in (("GROUP", 16), ("FEWEST", 4), ("PER_FILE", 2), ("BINS", 8)):
+        monkeypatch.setattr(quality_classifier, name, value)
+    texts = [(i, f"{'good words here. ' if i % 5 else 'BAD!! 99 '}" * (i % 7 + 1)) for i in range(400)]
+    docs = spark.createDataFrame(texts + texts[:20], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(400)], "doc_id long, quality int")
+    own = [(i, t) for i, t in texts if zlib.crc32(str(i).encode()) % 5]
+    x = np.array([quality_classifier.features(t) for _, t in own])
+    good = sum(i % 5 > 0 for i, _ in own)
+    rows = quality_classifier.learnable(docs, labels)
+    assert rows.count() == len(own)
+    placed = quality_classifier.dealt(rows, good, len(own) - good).collect()
+    assert sorted(r["doc_id"] for r in placed if r["own"]) == [i for i, _ in own]
+    assert all({r["label"] for r in placed if r["group"] == g} == {0, 1} for g in {r["group"] for r in placed})
+    model = quality_classifier.train(docs, labels)
+    assert np.allclose(model.centre, x.mean(0)) and np.allclose(model.scale, x.std(0) + 1e-6)
+    raw = np.sort(np.clip((x - model.centre) / model.scale, -8, 8) @ model.weights)
+    k = len(own) - good
+    assert model.threshold == pytest.approx((raw[k - 1] + raw[k]) / 2)
+    assert np.array_equal(model.weights, quality_classifier.train(docs.repartition(3), labels).weights)
+    assert sum(r["predicted"] == int(r["doc_id"] % 5 > 0) for r in quality_classifier.score(docs, model).collect()) >= 415
+
+
+def test_value_at_a_rank(spark, monkeypatch):
+    monkeypatch.setattr(quality_classifier, "BINS", 4)
+    values = [float(i % 37) ** 2 for i in range(500)]
+    raw = spark.createDataFrame([(v,) for v in values], "raw double")
+    for k in (0, 1, 250, 498, 499):
+        assert quality_classifier.value_at(raw, 500, k) == sorted(values)[k]
