@@ -40,8 +40,9 @@ from stationlake.llm.difference_cover import match_classes
 from stationlake.llm.exchange import bundle, mixed, pack, pack_sorted, slice_bounds, unbundle, unpack, unpack_sorted
 
 NEED, GRAM, HOT = 50, 20, 200_000
-#: Bytes of text in a chunk and for each slice; bytes whose suffixes are sorted, and hashed, at a time.
-CHUNK, SLICE, SORTED, HASHED = 4 << 20, 4 << 20, 1 << 20, 1 << 20
+#: Bytes of text in a chunk and for each slice; bytes whose suffixes are sorted, and hashed, at a time: each
+#: takes a dozen or two of 64-bit columns, which are what a task's memory is made of.
+CHUNK, SLICE, SORTED, HASHED = 4 << 20, 4 << 20, 1 << 18, 1 << 18
 NO_ID = (1 << 64) - 1
 ROWS = "slice int, chunk long, memo boolean, body binary"
 _ARROW = pa.schema([("slice", pa.int32()), ("chunk", pa.int64()), ("memo", pa.bool_()), ("body", pa.binary())])
@@ -317,16 +318,22 @@ def _removed(t: Texts, p: Passages, answers: np.ndarray) -> np.ndarray:
     count = p.starts[p.order]
     offset = np.empty(len(count), np.int64)
     offset[p.order] = np.cumsum(count) - count
-    nth = np.arange(p.count.sum()) - np.repeat(np.cumsum(p.count) - p.count, p.count)
-    smaller = answers[np.repeat(offset[p.number], p.count) + nth] < np.repeat(t.ids[p.doc], p.count)
-    where = (np.repeat(p.start, p.count) + nth)[smaller]
     edge = np.zeros(len(t.text) + 1, np.int32)
-    np.add.at(edge, where, 1)
-    np.add.at(edge, where + t.need, -1)
+    ends = np.cumsum(p.count)
+    at = 0
+    while at < len(ends):  # some starts at a time: all of a chunk's would be many columns of eight times its bytes
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + HASHED, "right")))
+        n = p.count[at:stop]
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        smaller = answers[np.repeat(offset[p.number[at:stop]], n) + nth] < np.repeat(t.ids[p.doc[at:stop]], n)
+        where = (np.repeat(p.start[at:stop], n) + nth)[smaller]
+        np.add.at(edge, where, 1)
+        np.add.at(edge, where + t.need, -1)
+        at = stop
     for i in np.flatnonzero(p.copy & (t.sizes >= t.need)):
         edge[t.first[i]] += 1
         edge[t.first[i] + t.sizes[i]] -= 1
-    return np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1], dtype=np.int32) > 0
 
 
 def _whole_characters(raw: bytes, gone: np.ndarray) -> np.ndarray:
@@ -385,12 +392,13 @@ def _exchange(docs: DataFrame, finish, schema: str, need: int, gram: int, hot: i
         memo = answers.filter(answers.column("memo")).column("body")[0].as_py()
         t = Texts(table, bits, need, gram)
         p = Passages.from_memo(memo)
-        values = []
+        values, done = np.zeros(int(p.starts.sum()), np.uint64), 0
         for body in told(answers.filter(pa.compute.invert(answers.column("memo")))):
             step = unpack(body)
             step = (step >> np.uint64(1)).view(np.int64) ^ -(step & np.uint64(1)).view(np.int64)
-            values.append(np.cumsum(step).view(np.uint64))
-        return finish(table, t, _removed(t, p, np.concatenate(values) if values else np.zeros(0, np.uint64)))
+            values[done:done + len(step)] = np.cumsum(step).view(np.uint64)
+            done += len(step)
+        return finish(table, t, _removed(t, p, values))
 
     # few bytes stand for much work here: tasks are counted by what they do, not merged by size
     most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)

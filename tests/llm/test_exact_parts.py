@@ -2,13 +2,15 @@
 
 import itertools
 import time
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from stationlake.llm import difference_cover, packing, toxicity
+from stationlake.llm import difference_cover, packing, suffix_dedup, toxicity
 from stationlake.llm.exchange import bundle, pack, pack_sorted, slice_bounds, unbundle, unpack, unpack_sorted
 from stationlake.llm.recurrent import Network, Vocabulary, restrict, sigmoid
 
@@ -159,3 +161,21 @@ def test_windows_cover_every_word(n):
     seen, owner = toxicity.windows(np.arange(1, n + 1), np.array([n]))
     assert set(seen[seen > 0]) == set(range(1, n + 1)) and (owner == 0).all()
     assert len(seen) == (0 if n == 0 else max(0, -(-(n - 32) // 16)) + 1)
+
+
+def test_removing_takes_a_few_times_the_text():
+    size = 3_000_000
+    t = suffix_dedup.Texts(pa.table({"doc_id": [5], "text": ["x" * size]}), 30)
+    p = suffix_dedup.Passages.__new__(suffix_dedup.Passages)
+    p.start = np.arange(0, size - 100, 15)
+    p.count = p.starts = np.full(len(p.start), 15)
+    p.number = p.order = np.arange(len(p.start))
+    p.doc, p.copy = np.zeros(len(p.start), np.int64), np.zeros(1, bool)
+    answers = np.repeat(np.where(p.number < len(p.number) // 2, t.ids[0] - np.uint64(1), t.ids[0]), 15)
+    tracemalloc.start()
+    gone = suffix_dedup._removed(t, p, answers)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    cut = len(p.start) // 2 * 15 - 1 + t.need  # the last start that goes, and its bytes
+    assert gone[:cut].all() and not gone[cut:].any()
+    assert peak < 24 * size
