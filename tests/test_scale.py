@@ -90,3 +90,20 @@ def test_tasks_that_number_follow_the_rows(spark, monkeypatch):
     lines = render.render_lines(li)
     assert asked == [30]
     assert sorted(r.line_no for r in lines.where("csv_file = 'f1.csv'").collect()) == list(range(1, 108))
+
+
+def test_each_time_is_parsed_once_a_row(spark):
+    p = parse_lines(_lines(spark), header_is_small=False)
+    for df in (tb.measurement(p.good_cells), tb.run_meta(p.good_rows), p.rejects, tb.spec_dims(p.good_cells)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("gettimestamp(") == 2  # a start and an end
+        assert "arrays_zip" not in plan
+
+
+def test_a_file_s_cells_with_the_same_limits_are_one_sighting(spark):
+    cells = parse_lines(_lines(spark), header_is_small=True).good_cells.withColumn("product", F.lit("P"))
+    keys = cells.select("csv_file", *tb.SPEC_KEY).distinct().count()
+    assert cells.count() > keys
+    assert tb.limit_events(cells).count() == 3 * keys
+    last = {(r.kind, r.limit_value): r.seen_at for r in tb.spec_history_rows(cells).where("item = 'a'").collect()}
+    assert last == {(k, v): datetime(2024, 1, 5, 10) for k, v in (("upper", "5"), ("lower", "1"), ("unit", "V"))}

@@ -4,6 +4,7 @@ import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stationlake.functions.text import (file_version_parts, java_split, java_trim,
                                         parse_station_time, split_fields, station_id_parts)
@@ -74,3 +75,15 @@ def test_version_and_station_parts(spark):
     got = [tuple(r) for r in df.select(*station_id_parts("v")).collect()]
     assert got == [("FXGL", "C03-5FT-02B", "1", "AE-22"), ("A", "B", "", ""),
                    ("a", "b", "c", "d"), (None, None, None, None)]
+
+
+def test_times_read_by_a_cast_are_those_of_the_pattern(spark):
+    year, part = ["0000", "0001", "0999", "1582", "1900", "2000", "9999", "99", "0", "12345"], ["0", "00", "1", "02", "12", "29", "30", "31", "60", "123"]
+    rows = [(f"{y}-{m}-{d} {t}",) for y in year for m in part for d in part
+            for t in ("00:00:00", "7:5:9", "23:59:60", "24:00:00", "12:60:00", "12:00", "12:00:00 ", "12:00:00Z", "12:00:00.0", "1:2:3\n")]
+    rows += [(x,) for x in ("+2024-01-05 10:00:00", "2024-01-05T10:00:00", "\u0662024-01-05 10:00:00", "2024-1-5  1:2:3", None)]
+    df = spark.createDataFrame(rows, "v string")
+    shape = F.col("v").rlike(r"^\d{1,4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\z")
+    plain = F.when(shape, F.try_to_timestamp("v", F.lit("y-M-d H:m:s")).cast("timestamp_ntz"))
+    both = df.select("v", parse_station_time("v").cast("string").alias("a"), plain.cast("string").alias("b"))
+    assert both.where("NOT a <=> b").limit(5).collect() == [] and both.where("a IS NOT NULL").count() > 100
