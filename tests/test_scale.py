@@ -107,3 +107,19 @@ def test_a_file_s_cells_with_the_same_limits_are_one_sighting(spark):
     assert tb.limit_events(cells).count() == 3 * keys
     last = {(r.kind, r.limit_value): r.seen_at for r in tb.spec_history_rows(cells).where("item = 'a'").collect()}
     assert last == {(k, v): datetime(2024, 1, 5, 10) for k, v in (("upper", "5"), ("lower", "1"), ("unit", "V"))}
+
+
+def test_sightings_of_lines_beyond_a_block_keep_their_order(spark):
+    far = tb.BLOCK_LINES
+    rows = [("a.csv", 3 * far + 2, 9, 1), ("a.csv", 3 * far + 3, 0, 2), ("a.csv", 2 * far + 7, 12, 3), ("a.csv", far - 1, 5, 4), ("a.csv", 1, 1, 5)]
+    cells = spark.createDataFrame([(f, n, p, datetime(2024, 1, day)) for f, n, p, day in rows], "csv_file string, line_no long, pos long, starttime timestamp_ntz")
+    cells = cells.select("*", *[F.lit(k).alias(k) for k in (*tb.SPEC_KEY, *tb.LIMIT_KINDS)])
+    assert {r.seen_at for r in tb.spec_history_rows(cells).collect()} == {datetime(2024, 1, 2)}
+    assert tb.spec_history_rows(cells.where(f"line_no <> {3 * far + 3}")).first().seen_at == datetime(2024, 1, 1)
+
+
+def test_months_of_any_time(spark):
+    times = ["0001-01-01 00:00:00", "0999-12-31 23:59:59", "2024-02-29 10:00:00", "9999-12-31 23:59:59", "+12345-06-01 00:00:00", "-0005-06-01 00:00:00", None]
+    df = spark.createDataFrame([(t,) for t in times], "v string").select(F.col("v").cast("timestamp_ntz").alias("t"))
+    got = df.select(stored_tables.start_month(F.col("t")).alias("a"), F.coalesce(F.date_format("t", "yyyy-MM"), F.lit("none")).alias("b")).collect()
+    assert len(got) == 7 and all(r.a == r.b for r in got), got
