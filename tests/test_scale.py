@@ -1,5 +1,7 @@
 """What must grow with the rows and no faster: joins with headers, copies that an import writes, rendered files."""
 
+import random
+import time
 from collections import Counter
 from datetime import datetime
 
@@ -8,9 +10,11 @@ from pyspark.sql import functions as F
 
 from stationlake.fixtures import render
 from stationlake.operators import tables as tb
+from stationlake.plans.ingest import ingest_lines
 from stationlake.plans.pipeline import parse_lines
-from stationlake.schemas import LINES_SCHEMA
+from stationlake.schemas import LINES_SCHEMA, MEASUREMENT_COLUMNS, MEASUREMENT_KEY, MEASUREMENT_SCHEMA
 from stationlake.sources import tables as stored_tables
+from stationlake.sources.tables import partition_cols_for, partition_schema, read_table
 
 PREAMBLE = ["ST1,Version: V1; VX", "Product,SerialNumber,Station ID,Test Pass/Fail Status,StartTime,EndTime,A,B", "Display Name ----->",
             "PDCA Priority ----->,,,,,,0,1", "Upper Limit ----->,,,,,,5,6", "Lower Limit ----->,,,,,,1,2", "Measurement Unit ----->,,,,,,V,A"]
@@ -119,3 +123,54 @@ def test_months_of_any_time(spark):
 def test_sightings_are_compared_as_longs(spark):
     types = dict(tb.limit_events(parse_lines(_lines(spark), header_is_small=True).good_cells).dtypes)
     assert types["_lp"] == types["_block"] == "bigint"
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.split("\n") if "/shuffle_" in f}
+
+
+def test_a_write_leaves_no_shuffle_files(spark, workdir):
+    before = _shuffle_files(spark)
+    stored_tables.staged(spark.range(1000).repartition(5, "id"), "dealt")
+    parts = spark.range(1000).select((F.col("id") % 3).cast("string").alias("station_part"), F.col("id").alias("k"))
+    stored_tables._write_partitions(parts, f"{workdir}/t", ["station_part"], ["k"], 100)
+    until = time.time() + 20  # executors remove them a moment later
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
+@pytest.mark.parametrize("on_error", ["quarantine", "stop"])
+def test_an_import_writes_lines_once_and_no_cells(spark, workdir, monkeypatch, on_error):
+    purposes = []
+    for module in (tb, stored_tables):
+        real = module.staged
+        monkeypatch.setattr(module, "staged", lambda df, purpose, real=real: purposes.append(purpose) or real(df, purpose))
+    lines = _lines(spark)
+    files = lines.where("line_no = 1").select("file_path", "csv_file")
+    for _ in range(2):  # the second import meets every row of the first
+        parsed, _ = ingest_lines(spark, lines, files, workdir, on_error=on_error)
+    assert not {"cells", "upsert", "upsert-rows", "upsert-won"} & set(purposes)
+    got = read_table(spark, f"{workdir}/measurement", partition_schema(MEASUREMENT_SCHEMA, partition_cols_for(MEASUREMENT_KEY)))
+    cells = tb.measurement(parsed.good_cells)
+    assert _seen(got, *MEASUREMENT_COLUMNS) == _seen(cells, *MEASUREMENT_COLUMNS) and got.count() > 100
+    assert _seen(tb.unpack_lines(tb.measurement_lines(parsed.cell_rows)), *MEASUREMENT_COLUMNS, "line_no", "pos") == \
+        _seen(tb.measurement(parsed.good_cells, keep_order=True), *MEASUREMENT_COLUMNS, "line_no", "pos")
+
+
+@pytest.mark.parametrize("key_rows, slice_bytes", [(100_000, 1 << 40), (100_000, 20_000), (3, 20_000)])
+def test_the_last_write_of_a_key_stays(spark, workdir, monkeypatch, key_rows, slice_bytes):
+    """Partitions written some at a time, keys with many rows, null keys and places."""
+    monkeypatch.setattr(stored_tables, "KEY_ROWS", key_rows)
+    monkeypatch.setattr(stored_tables, "SLICE_BYTES", slice_bytes)
+    rng, want = random.Random(5), {}
+    for batch in range(2):
+        rows = [(rng.choice(["A", None, "", "B"]), rng.choice([None, *map(str, range(30))]), rng.choice([None, datetime(2024, 1, 1), datetime(2024, 2, 3)]),
+                 rng.choice(["a", "b", None]), line, 0, f"{batch}-{line}") for line in range(200)]
+        want |= {r[:3]: r[6] for r in sorted(rows, key=lambda r: (r[3] is not None, r[3] or "", r[4]))}
+        df = spark.createDataFrame(rows, "station_name string, k string, starttime timestamp_ntz, csv_file string, line_no long, pos long, v string")
+        stored_tables.upsert_table(spark, f"{workdir}/t", df, ["station_name", "k", "starttime"])
+    got = spark.read.parquet(f"{workdir}/t").collect()
+    assert {(r.station_name, r.k, r.starttime): r.v for r in got} == want and len(got) == len(want)
