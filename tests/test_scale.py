@@ -14,6 +14,7 @@ from stationlake.plans.ingest import ingest_lines
 from stationlake.plans.pipeline import parse_lines
 from stationlake.schemas import LINES_SCHEMA, MEASUREMENT_COLUMNS, MEASUREMENT_KEY, MEASUREMENT_SCHEMA
 from stationlake.sources import tables as stored_tables
+from stationlake.sources.files import read_lines, scan_text_raw
 from stationlake.sources.tables import partition_cols_for, partition_schema, read_table
 
 PREAMBLE = ["ST1,Version: V1; VX", "Product,SerialNumber,Station ID,Test Pass/Fail Status,StartTime,EndTime,A,B", "Display Name ----->",
@@ -174,3 +175,18 @@ def test_the_last_write_of_a_key_stays(spark, workdir, monkeypatch, key_rows, sl
         stored_tables.upsert_table(spark, f"{workdir}/t", df, ["station_name", "k", "starttime"])
     got = spark.read.parquet(f"{workdir}/t").collect()
     assert {(r.station_name, r.k, r.starttime): r.v for r in got} == want and len(got) == len(want)
+
+
+def test_many_small_files_are_read_by_few_tasks(spark, workdir):
+    for i in range(120):
+        with open(f"{workdir}/f+{i} %41é.csv", "w") as f:
+            f.write(f"{i}\nlast\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8m")
+    try:
+        raw = scan_text_raw(spark, workdir)
+        assert raw.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+        got = read_lines(spark, workdir)
+        assert _seen(got, "file_path", "csv_file", "line_no", "value") == Counter(
+            (f"file://{workdir}/f+{i} %41é.csv", f"f+{i} %41é.csv", n, v) for i in range(120) for n, v in ((1, str(i)), (2, "last")))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
